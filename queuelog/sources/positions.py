@@ -88,6 +88,31 @@ def resume_offsets(read: DataFrame) -> DataFrame:
     return read.groupBy(QUEUE_KEY).agg((F.max("queue_offset") + 1).alias("offset"))
 
 
+def capped_ends(starts: DataFrame, bounds: DataFrame, max_messages: int = 64) -> DataFrame:
+    """Where one poll of each queue ends: at most ``max_messages`` further on."""
+    return starts.join(bounds, QUEUE_KEY).select(
+        *QUEUE_KEY, F.least(F.col("end"), F.col("offset") + max_messages).alias("offset")
+    )
+
+
+def parse_specific_offsets(text: Column) -> Column:
+    """The option text as a column: ``array<struct<partition, offset>>``, last duplicate only."""
+    entry = "^partition:([+-]?[0-9]+),offset:([+-]?[0-9]+),*$"
+    bad = F.raise_error(F.concat(F.lit("invalid specific offsets: "), text))
+
+    def parsed(e: Column) -> Column:
+        return F.struct(
+            F.when(e.rlike(entry), F.regexp_extract(e, entry, 1)).otherwise(bad).cast("int").alias("partition"),
+            F.regexp_extract(e, entry, 2).cast("bigint").alias("offset"),
+        )
+
+    entries = F.transform(F.split(F.regexp_replace(text, ";+$", ""), ";"), parsed)
+    later = lambda i: F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1)))
+    return F.filter(
+        entries, lambda e, i: ~F.exists(later(i), lambda o: o["partition"] == e["partition"])
+    )
+
+
 def new_queues(current: DataFrame, known: DataFrame) -> DataFrame:
     """Queues not seen before; queues that vanished are not reported."""
     return current.select(QUEUE_KEY).distinct().join(known.select(QUEUE_KEY), QUEUE_KEY, "left_anti")
