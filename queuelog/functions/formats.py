@@ -61,14 +61,16 @@ def decode_json_array(body: Column, schema: T.StructType | str, on_error: str =
 
 def decode_csv(body: Column, schema: T.StructType | str, on_error: str = "fail", options: dict | None = None) -> Column:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in as_schema(schema).fields)
-    return F.from_csv(_text(body), ddl, {**parse_mode(on_error), **csv_options(options)})
+    # an unquoted empty cell is null and a quoted one is the empty string, so null needs a name of its own
+    return F.from_csv(_text(body), ddl, {"nullValue": "\x01", **parse_mode(on_error), **csv_options(options)})
 
 
 def csv_options(options: dict | None) -> dict[str, str]:
     options = options or {}
     named = {"field-delimiter": "sep", "quote-character": "quote", "null-literal": "nullValue"}
-    # a quote inside a quoted field is doubled, as in RFC 4180
-    return {"escape": '"', **{named[k]: v for k, v in options.items() if k in named}}
+    # a quote inside a quoted field is doubled, as in RFC 4180, and blanks belong to the value
+    rules = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return {**rules, **{named[k]: v for k, v in options.items() if k in named}}
 
 
 def decode_raw(body: Column, to: T.DataType | str, charset: str = "UTF-8") -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuelog.model import QUEUE_KEY
@@ -33,13 +33,14 @@ def per_queue_watermarks(stream: DataFrame, queues: list[tuple[str, int]], delay
     more, so this is for few queues, and ``queues`` must list all of them: rows of others
     fail rather than get lost.
     """
-    listed = F.lit(False)
-    for broker, queue in queues:
-        listed |= (F.col("broker_name") == broker) & (F.col("queue_id") == queue)
+    def of(broker: str, queue: int) -> Column:
+        return (F.col("broker_name") == broker) & (F.col("queue_id") == queue)
+
+    listed = reduce(Column.__or__, [of(*q) for q in queues])
     name = F.concat_ws("-", "broker_name", F.col("queue_id").cast("string"))
-    complete = F.when(listed, True).otherwise(F.raise_error(F.concat(F.lit("queue not listed: "), name)).cast("boolean"))
-    branches = []
-    for broker, queue in queues:
-        mine = (F.col("broker_name") == broker) & (F.col("queue_id") == queue)
-        branches.append(stream.where(complete & mine).withWatermark(column, delay))
+    fail = F.raise_error(F.concat(F.lit("queue not listed: "), name)).cast("boolean")
+    # the first branch looks at every row, the others only at their own
+    first = F.when(of(*queues[0]), True).when(listed, False).otherwise(fail)
+    conditions = [first, *[of(*q) for q in queues[1:]]]
+    branches = [stream.where(c).withWatermark(column, delay) for c in conditions]
     return reduce(DataFrame.unionByName, branches)

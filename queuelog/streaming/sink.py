@@ -59,10 +59,9 @@ def to_messages(
             raise ValueError(f"metadata column '{name}' cannot be written, only '{HEADERS}' and '{TIMESTAMP}'")
     kind = F.col(ROW_KIND) if ROW_KIND in df.columns else None
     if kind is not None:
-        kinds = sorted(opt.changelog_mode(options.format))
-        kind = F.when(kind.isin(kinds), kind).otherwise(
-            F.raise_error(F.concat(F.lit(f"format '{options.format}' cannot write row kind "), kind))
-        )
+        wrong = F.raise_error(F.concat(F.lit(f"format '{options.format}' cannot write row kind "), kind))
+        allowed = kind.isin(sorted(opt.changelog_mode(options.format)))
+        df = df.where(F.when(allowed, True).otherwise(wrong.cast("boolean")))
     physical = [c for c in df.columns if c not in {*metadata, *exclude, ROW_KIND}]
     row = F.struct(*physical)
     body = formats.encode(
