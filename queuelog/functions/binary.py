@@ -120,15 +120,25 @@ def bin_time(c: Column, strict: bool = True, time_type: bool = False) -> Column:
     return as_time(bin_timestamp(c, strict), time_type)
 
 
-def _unscaled(c: Column, strict: bool) -> Column:
-    """A two's-complement integer of any length as decimal(38,0).
+def _sign_fill(c: Column) -> Column:
+    return F.when(F.substring(F.hex(F.substring(c, 1, 1)), 1, 1) >= "8", "F").otherwise("0")
+
+
+def _short_integer(c: Column) -> Column:
+    """1 to 8 bytes of two's complement as a bigint."""
+    digits = F.right(F.concat(F.repeat(_sign_fill(c), F.lit(14)), F.hex(c)), F.lit(16))
+    return F.conv(digits, 16, -10).cast("bigint")
+
+
+def _long_integer(c: Column, strict: bool) -> Column:
+    """Two's complement of any length as decimal(38,0).
 
     The low 8 bytes are taken unsigned and the 8 before them signed; bytes further up may
     only repeat the sign.
     """
     n = F.length(c)
-    negative = F.substring(F.hex(F.substring(c, 1, 1)), 1, 1) >= "8"
-    fill = F.when(negative, "F").otherwise("0")
+    fill = _sign_fill(c)
+    negative = fill == "F"
     wide = F.right(F.concat(F.repeat(fill, 32 - 2 * n), F.hex(c)), F.lit(32))
     high = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(19,0)")
     low = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(20,0)")
@@ -140,20 +150,24 @@ def _unscaled(c: Column, strict: bool) -> Column:
     extra = F.substring(F.hex(c), F.lit(1), 2 * n - 32)
     same_sign = (F.substring(wide, 1, 1) >= "8") == negative
     fits = (n <= 16) | ((extra == F.repeat(fill, 2 * n - 32)) & same_sign)
-    overflow = F.lit(None).cast("decimal(38,0)")
-    if strict:
-        overflow = F.raise_error(F.lit("integer field needs more than 38 digits")).cast("decimal(38,0)")
-    return F.when(c.isNull() | (n == 0), None).when(fits & value.isNotNull(), value).otherwise(overflow)
+    if not strict:
+        return F.when(fits, value)
+    overflow = F.raise_error(F.lit("integer field needs more than 38 digits")).cast("decimal(38,0)")
+    return F.coalesce(F.when(fits, value), F.when(n > 0, overflow))
 
 
 def bin_bigint(c: Column, strict: bool = True) -> Column:
-    return _need(c, 1, _unscaled(c, strict), strict).cast("decimal(38,0)")
+    value = F.when(F.length(c) <= 8, _short_integer(c).cast("decimal(38,0)")).otherwise(_long_integer(c, strict))
+    return _need(c, 1, value, strict).cast("decimal(38,0)")
 
 
 def bin_decimal(c: Column, precision: int, scale: int, strict: bool = True) -> Column:
     """4 bytes of scale, then the unscaled value. Fewer than 5 bytes give null."""
-    unscaled = _unscaled(F.substring(c, F.lit(5), F.length(c) - 4), strict)
-    text = F.concat(unscaled.cast("string"), F.lit("E"), (-_signed(c, 1, 4)).cast("string"))
+    digits = F.substring(c, F.lit(5), F.length(c) - 4)
+    unscaled = F.when(F.length(c) <= 12, _short_integer(digits).cast("string")).otherwise(
+        _long_integer(digits, strict).cast("string")
+    )
+    text = F.concat(unscaled, F.lit("E"), (-_signed(c, 1, 4)).cast("string"))
     to = f"decimal({precision},{scale})"
     value = text.cast(to) if strict else text.try_cast(to)
     return F.when(F.length(c) >= 5, value)

@@ -38,10 +38,6 @@ def _present(value: Column, what: str, strict: bool) -> Column:
     )
 
 
-def _strict(parse: dict) -> bool:
-    return parse.get("mode") == "FAILFAST"
-
-
 def envelope(schema: T.StructType) -> T.StructType:
     return T.StructType(
         [T.StructField("before", schema), T.StructField("after", schema), T.StructField("op", T.StringType())]
@@ -70,25 +66,40 @@ def expand_before_after(
     )
 
 
-def decode_debezium(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
-    shape = envelope(schema)
-    wrapped = options.get("schema-include") == "true"
-    if wrapped:
-        shape = T.StructType([T.StructField("payload", shape)])
-    e = F.from_json(body.cast("string"), shape, parse)
-    return expand_before_after(e["payload"] if wrapped else e, schema, strict=_strict(parse))
+def _json(body: Column, shape: T.StructType, parse: dict) -> Column:
+    return F.from_json(body.cast("string"), shape, parse)
+
+
+def parse_debezium(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
+    if options.get("schema-include") == "true":
+        return _json(body, T.StructType([T.StructField("payload", envelope(schema))]), parse)["payload"]
+    return _json(body, envelope(schema), parse)
+
 
+def expand_debezium(e: Column, schema: T.StructType, strict: bool) -> Column:
+    return expand_before_after(e, schema, strict=strict)
 
-def decode_ogg(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
+
+def parse_ogg(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
     shape = T.StructType(
         [T.StructField("before", schema), T.StructField("after", schema), T.StructField("op_type", T.StringType())]
     )
-    e = F.from_json(body.cast("string"), shape, parse)
+    return _json(body, shape, parse)
+
+
+def expand_ogg(e: Column, schema: T.StructType, strict: bool) -> Column:
     return expand_before_after(
-        e, schema, field="op_type", inserts=("I",), update="U", delete="D", strict=_strict(parse)
+        e, schema, field="op_type", inserts=("I",), update="U", delete="D", strict=strict
     )
 
 
+def _with_old_keys(body: Column, item: T.DataType, keys: str, parse: dict) -> Column:
+    """``data``, ``old`` and ``type``, and next to them the names that ``old`` spells out."""
+    shape = T.StructType([T.StructField("data", item), T.StructField("old", item), T.StructField("type", T.StringType())])
+    named = F.from_json(body.cast("string"), f"struct<old:{keys}>", {"mode": "PERMISSIVE"})["old"]
+    return F.struct(_json(body, shape, parse).alias("e"), named.alias("keys"))
+
+
 def _before_image(after: Column, old: Column, old_keys: Column, schema: T.StructType) -> Column:
     """The earlier row: ``old`` holds changed fields only, the rest is as in ``after``."""
     return F.struct(
@@ -99,15 +110,12 @@ def _before_image(after: Column, old: Column, old_keys: Column, schema: T.Struct
     )
 
 
-def decode_canal(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
-    text = body.cast("string")
-    many = T.ArrayType(schema)
-    shape = T.StructType(
-        [T.StructField("data", many), T.StructField("old", many), T.StructField("type", T.StringType())]
-    )
-    keys = F.from_json(text, "struct<old:array<map<string,string>>>", {"mode": "PERMISSIVE"})["old"]
-    e = F.from_json(text, shape, parse)
-    strict = _strict(parse)
+def parse_canal(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
+    return _with_old_keys(body, T.ArrayType(schema), "array<map<string,string>>", parse)
+
+
+def expand_canal(parsed: Column, schema: T.StructType, strict: bool) -> Column:
+    e, keys = parsed["e"], parsed["keys"]
     data, old, op = e["data"], e["old"], e["type"]
 
     def both(item: Column, i: Column) -> Column:
@@ -123,28 +131,29 @@ def decode_canal(body: Column, schema: T.StructType, parse: dict, options: dict)
     )
 
 
-def decode_maxwell(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
-    text = body.cast("string")
-    shape = T.StructType(
-        [T.StructField("data", schema), T.StructField("old", schema), T.StructField("type", T.StringType())]
-    )
-    keys = F.from_json(text, "struct<old:map<string,string>>", {"mode": "PERMISSIVE"})["old"]
-    e = F.from_json(text, shape, parse)
+def parse_maxwell(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
+    return _with_old_keys(body, schema, "map<string,string>", parse)
+
+
+def expand_maxwell(parsed: Column, schema: T.StructType, strict: bool) -> Column:
+    e, keys = parsed["e"], parsed["keys"]
     data, op = e["data"], e["type"]
     earlier = _before_image(data, e["old"], keys, schema)
     return (
         F.when(op == "insert", F.array(_row(INSERT, data)))
         .when(op == "update", F.array(_row(UPDATE_BEFORE, earlier), _row(UPDATE_AFTER, data)))
         .when(op == "delete", F.array(_row(DELETE, data)))
-        .otherwise(_unknown("type", op, schema, _strict(parse)))
+        .otherwise(_unknown("type", op, schema, strict))
     )
 
 
+#: Body → parsed envelope, and parsed envelope → rows. Two steps, so that a plan can parse
+#: a body once and refer to the result.
 DECODERS = {
-    "debezium-json": decode_debezium,
-    "canal-json": decode_canal,
-    "maxwell-json": decode_maxwell,
-    "ogg-json": decode_ogg,
+    "debezium-json": (parse_debezium, expand_debezium),
+    "canal-json": (parse_canal, expand_canal),
+    "maxwell-json": (parse_maxwell, expand_maxwell),
+    "ogg-json": (parse_ogg, expand_ogg),
 }
 
 

@@ -150,13 +150,16 @@ def decode(
             raise ValueError("format 'raw' reads exactly one column")
         value = F.struct(decode_raw(body, schema[0].dataType, options.get("charset", "UTF-8")).alias(schema[0].name))
     elif fmt in cdc.DECODERS:
-        rows = cdc.DECODERS[fmt](body, schema, parse_mode(lenient), options)
+        parse, expand = cdc.DECODERS[fmt]
+        messages = messages.withColumn("_parsed", parse(body, schema, parse_mode(lenient), options))
+        rows = expand(F.col("_parsed"), schema, lenient == "fail")
     elif fmt == "avro":
         value = avro.decode_avro(body, schema)
     elif fmt == "avro-confluent":
         value = avro.decode_confluent(body, schema, registry)
     elif fmt == "debezium-avro-confluent":
-        rows = cdc.expand_before_after(avro.decode_confluent(body, cdc.envelope(schema), registry), schema)
+        messages = messages.withColumn("_parsed", avro.decode_confluent(body, cdc.envelope(schema), registry))
+        rows = cdc.expand_before_after(F.col("_parsed"), schema)
     else:
         raise ValueError(f"unknown format '{fmt}'")
 
@@ -171,7 +174,7 @@ def decode(
     return (
         messages.select("*", tombstone, F.explode(items).alias("_row"))
         .select("*", F.col("_row.value").alias("value"), F.col("_row.kind").alias("row_kind"))
-        .drop("_row")
+        .drop("_row", "_parsed")
     )
 
 

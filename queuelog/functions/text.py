@@ -31,7 +31,9 @@ def _bad(c: Column, what: str, to: str, strict: bool) -> Column:
 
 
 def _checked(c: Column, ok: Column, value: Column, what: str, to: str, strict: bool) -> Column:
-    return F.when(c.isNull(), None).when(ok & value.isNotNull(), value).otherwise(_bad(c, what, to, strict))
+    """``value`` where ``ok`` and not null, else the error; computes ``value`` once."""
+    found = F.when(ok, value)
+    return F.coalesce(found, F.when(c.isNotNull(), _bad(c, what, to, strict))) if strict else found
 
 
 def str_numeric(c: Column, to: str, strict: bool = True) -> Column:
@@ -88,19 +90,21 @@ def str_timestamp(c: Column, strict: bool = True, raw: bool = False) -> Column:
         return str_numeric(c, "bigint", strict)
     millis = F.when(c.rlike(INTEGER), F.timestamp_millis(c.try_cast("bigint")))
     hours, minutes, seconds = (F.regexp_extract(c, TIMESTAMP, i).try_cast("int") for i in (4, 5, 6))
-    # three digits of the fraction are kept
+    plain = F.date_trunc("millisecond", c.try_cast("timestamp_ntz").cast("timestamp"))
+    # parts past their range run on into the next; three digits of the fraction are kept
     fraction = F.rpad(F.substring(F.regexp_extract(c, TIMESTAMP, 7), 2, 3), 3, "0").try_cast("decimal(6,3)") / 1000
     wall = _day(c, TIMESTAMP).cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), hours, minutes, (seconds + F.coalesce(fraction, F.lit(0))).cast("decimal(18,6)")
     )
-    written = F.when(c.rlike(TIMESTAMP), wall.cast("timestamp"))
+    written = F.when(c.rlike(TIMESTAMP), F.coalesce(plain, wall.cast("timestamp")))
     return _checked(c, F.lit(True), F.coalesce(millis, written), "a timestamp", "timestamp", strict)
 
 
 def str_date(c: Column, strict: bool = True, raw: bool = False) -> Column:
     if raw:
         return str_numeric(c, "bigint", strict)
-    return _checked(c, c.rlike(DATE), _day(c, DATE), "a date", "date", strict)
+    # days past the end of their month take the long way
+    return _checked(c, c.rlike(DATE), F.coalesce(c.try_cast("date"), _day(c, DATE)), "a date", "date", strict)
 
 
 def str_time(c: Column, strict: bool = True, raw: bool = False, time_type: bool = False) -> Column:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from queuelog.functions.formats import TIME_FORMATS, WRITE_TIME_FORMATS
+
 #: A sort bucket aims at this many rows.
 ROWS_PER_BUCKET = 2_000_000
 #: Number of buckets at most; beyond it buckets grow and spill.
@@ -15,11 +18,7 @@ _SAMPLES_PER_BUCKET = 20
 
 def _position(key: Column, splits: Column, n: int) -> Column:
     """How many of the ``n`` ascending ``splits`` are at most ``key``, by binary search."""
-    steps = []
-    width = 1
-    while width <= n:
-        steps.insert(0, width)
-        width *= 2
+    steps = [1 << i for i in reversed(range(n.bit_length()))]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
@@ -29,10 +28,11 @@ def _position(key: Column, splits: Column, n: int) -> Column:
     )
 
 
-def _splits(keys: DataFrame, total: int, buckets: int) -> list:
-    """Ascending split keys from a sample chosen by hash, so the same input gives the same ones.
+def _splits(keys: DataFrame, total: int, buckets: int) -> list[str]:
+    """Keys (as JSON) that cut the input into about equal parts, from a sample chosen by hash.
 
-    The sample holds about ``_SAMPLES_PER_BUCKET`` keys per bucket whatever the input's size.
+    The sample holds about ``_SAMPLES_PER_BUCKET`` keys per bucket whatever the input's size,
+    and the same input gives the same one.
     """
     modulus = 1 << 30
     share = min(1.0, buckets * _SAMPLES_PER_BUCKET / total)
@@ -40,7 +40,7 @@ def _splits(keys: DataFrame, total: int, buckets: int) -> list:
         F.pmod(F.xxhash64("key"), F.lit(modulus)) < F.lit(max(1, int(modulus * share)))
     )
     bounded = chosen.limit(4 * buckets * _SAMPLES_PER_BUCKET).orderBy("key")
-    sample = [tuple(row["key"]) for row in bounded.collect()]
+    sample = [row[0] for row in bounded.select(F.to_json("key", WRITE_TIME_FORMATS)).collect()]
     if not sample:
         return []
     return list(dict.fromkeys(sample[len(sample) * i // buckets] for i in range(1, buckets)))
@@ -76,12 +76,10 @@ def dense_index(
     splits = _splits(df.select(key.alias("key")), total, buckets)
     if not splits:
         return dense_index(df, group, order, name, total=0)
-    names = [*group, *order]
-    types = [df.schema[n].dataType for n in names]
-    literal = F.sort_array(F.array(
-        *[F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(s, types, names)]) for s in splits]
-    ))
-    bucketed = df.withColumn("_bucket", _position(key, literal, len(splits)))
+    # the optimizer turns this into one constant
+    kind = T.ArrayType(df.select(key.alias("key")).schema["key"].dataType)
+    constant = F.sort_array(F.from_json(F.lit(f"[{','.join(splits)}]"), kind, TIME_FORMATS))
+    bucketed = df.withColumn("_bucket", _position(key, constant, len(splits)))
 
     counts = bucketed.groupBy(*group, "_bucket").count()  # at most buckets + groups rows
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
