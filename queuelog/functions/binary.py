@@ -7,6 +7,7 @@ binary columns. Too few bytes fail the query, or give null with ``strict=False``
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,14 @@ def _signed(c: Column, start: int, n: int) -> Column:
     return F.conv(digits, 16, -10).cast("bigint")
 
 
+def _apart(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(c)`` with ``c`` computed once, out of the generated code around it.
+
+    A long expression there makes a method that the JVM no longer compiles.
+    """
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def bin_int(c: Column, strict: bool = True) -> Column:
     return _need(c, 4, _signed(c, 1, 4), strict).cast("int")
 
@@ -72,11 +81,11 @@ def _ieee754(bits: Column, fraction_bits: int, exponent_bits: int) -> Column:
 
 
 def bin_float(c: Column, strict: bool = True) -> Column:
-    return _need(c, 4, _ieee754(_signed(c, 1, 4), 23, 8), strict).cast("float")
+    return _need(c, 4, _apart(_signed(c, 1, 4), lambda bits: _ieee754(bits, 23, 8)), strict).cast("float")
 
 
 def bin_double(c: Column, strict: bool = True) -> Column:
-    return _need(c, 8, _ieee754(_signed(c, 1, 8), 52, 11), strict).cast("double")
+    return _need(c, 8, _apart(_signed(c, 1, 8), lambda bits: _ieee754(bits, 52, 11)), strict).cast("double")
 
 
 def bin_string(c: Column, charset: str = "UTF-8") -> Column:
@@ -157,7 +166,9 @@ def _long_integer(c: Column, strict: bool) -> Column:
 
 
 def bin_bigint(c: Column, strict: bool = True) -> Column:
-    value = F.when(F.length(c) <= 8, _short_integer(c).cast("decimal(38,0)")).otherwise(_long_integer(c, strict))
+    value = F.when(F.length(c) <= 8, _short_integer(c).cast("decimal(38,0)")).otherwise(
+        _apart(c, lambda b: _long_integer(b, strict))
+    )
     return _need(c, 1, value, strict).cast("decimal(38,0)")
 
 
@@ -165,7 +176,7 @@ def bin_decimal(c: Column, precision: int, scale: int, strict: bool = True) -> C
     """4 bytes of scale, then the unscaled value. Fewer than 5 bytes give null."""
     digits = F.substring(c, F.lit(5), F.length(c) - 4)
     unscaled = F.when(F.length(c) <= 12, _short_integer(digits).cast("string")).otherwise(
-        _long_integer(digits, strict).cast("string")
+        _apart(digits, lambda b: _long_integer(b, strict).cast("string"))
     )
     text = F.concat(unscaled, F.lit("E"), (-_signed(c, 1, 4)).cast("string"))
     to = f"decimal({precision},{scale})"

@@ -15,10 +15,17 @@ from pyspark.sql import types as T
 from queuelog.functions import avro, cdc
 from queuelog.model import as_schema
 
-#: Six fraction digits; the defaults write three and would lose microseconds.
-TIME_FORMATS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+# How times are written. All six fraction digits; Spark's default keeps three.
+# Reading needs no pattern, Spark takes either form and any number of digits.
+TIME_STANDARDS = {
+    "SQL": {
+        "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    },
+    "ISO-8601": {
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    },
 }
 
 ON_ERROR = ("fail", "null", "skip")
@@ -27,7 +34,14 @@ ON_ERROR = ("fail", "null", "skip")
 def parse_mode(on_error: str) -> dict[str, str]:
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error should be one of {ON_ERROR}, but is '{on_error}'")
-    return {"mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE", **TIME_FORMATS}
+    return {"mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE"}
+
+
+def written_times(options: dict | None) -> dict[str, str]:
+    standard = (options or {}).get("timestamp-format.standard", "SQL")
+    if standard not in TIME_STANDARDS:
+        raise ValueError(f"'timestamp-format.standard' should be one of {sorted(TIME_STANDARDS)}, but is '{standard}'")
+    return TIME_STANDARDS[standard]
 
 
 def _text(body: Column) -> Column:
@@ -38,14 +52,12 @@ def decode_json(body: Column, schema: T.StructType | str, on_error: str = "fail"
     """One JSON object as a struct. Null stays null; an array is an error, never its first item."""
     schema = as_schema(schema)
     text = _text(body)
-    value = F.from_json(text, schema, parse_mode(on_error))
-    is_array = F.ltrim(text).startswith("[")
+    parsed = F.from_json(text, schema, parse_mode(on_error))
+    array = F.lit(None)
     if on_error == "fail":
-        value = F.when(~is_array, value).when(
-            is_array, F.raise_error(F.lit("message body is a JSON array, decode it with multi=True"))
-        )
-    else:
-        value = F.when(~is_array, value)
+        array = F.raise_error(F.lit("message body is a JSON array, decode it with multi=True"))
+    # the usual body is told by its first character
+    value = F.when(text.startswith("{"), parsed).when(F.ltrim(text).startswith("["), array).otherwise(parsed)
     if required:  # every field must be there, though it may be null
         keys = F.json_object_keys(text)
         whole = F.size(F.array_except(F.array(*[F.lit(n) for n in schema.names]), keys)) == 0
@@ -83,18 +95,12 @@ def decode_raw(body: Column, to: T.DataType | str, charset: str = "UTF-8") -> Co
     return F.when(body.isNotNull(), binary.decoder(kind)(body))
 
 
-def encode_json(row: Column) -> Column:
-    return F.to_json(row, {"ignoreNullFields": "false", **WRITE_TIME_FORMATS}).cast("binary")
+def encode_json(row: Column, options: dict | None = None) -> Column:
+    return F.to_json(row, {"ignoreNullFields": "false", **written_times(options)}).cast("binary")
 
 
 def encode_csv(row: Column, options: dict | None = None) -> Column:
-    return F.to_csv(row, {**WRITE_TIME_FORMATS, **csv_options(options)}).cast("binary")
-
-
-WRITE_TIME_FORMATS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
+    return F.to_csv(row, {**TIME_STANDARDS["SQL"], **csv_options(options)}).cast("binary")
 
 
 def encode_raw(row: Column, schema: T.StructType) -> Column:
@@ -211,14 +217,13 @@ def encode(
     if encoder is not None:
         return encoder(row)
     if fmt == "json":
-        return encode_json(row)
+        return encode_json(row, options)
     if fmt == "csv":
         return encode_csv(row, options)
     if fmt == "raw":
         return encode_raw(row, schema)
     if fmt in cdc.ENCODERS:
-        envelope = cdc.ENCODERS[fmt](row, kind)
-        return F.to_json(envelope, {"ignoreNullFields": "false", **WRITE_TIME_FORMATS}).cast("binary")
+        return encode_json(cdc.ENCODERS[fmt](row, kind), options)
     if fmt == "avro":
         return avro.encode_avro(row, avro_schema)
     if fmt == "avro-confluent":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from queuelog.functions.formats import TIME_FORMATS, WRITE_TIME_FORMATS
+from queuelog.functions.formats import TIME_STANDARDS
 
 #: A sort bucket aims at this many rows.
 ROWS_PER_BUCKET = 2_000_000
@@ -40,7 +40,7 @@ def _splits(keys: DataFrame, total: int, buckets: int) -> list[str]:
         F.pmod(F.xxhash64("key"), F.lit(modulus)) < F.lit(max(1, int(modulus * share)))
     )
     bounded = chosen.limit(4 * buckets * _SAMPLES_PER_BUCKET).orderBy("key")
-    sample = [row[0] for row in bounded.select(F.to_json("key", WRITE_TIME_FORMATS)).collect()]
+    sample = [row[0] for row in bounded.select(F.to_json("key", TIME_STANDARDS["ISO-8601"])).collect()]
     if not sample:
         return []
     return list(dict.fromkeys(sample[len(sample) * i // buckets] for i in range(1, buckets)))
@@ -78,7 +78,7 @@ def dense_index(
         return dense_index(df, group, order, name, total=0)
     # the optimizer turns this into one constant
     kind = T.ArrayType(df.select(key.alias("key")).schema["key"].dataType)
-    constant = F.sort_array(F.from_json(F.lit(f"[{','.join(splits)}]"), kind, TIME_FORMATS))
+    constant = F.sort_array(F.from_json(F.lit(f"[{','.join(splits)}]"), kind))
     bucketed = df.withColumn("_bucket", _position(key, constant, len(splits)))
 
     counts = bucketed.groupBy(*group, "_bucket").count()  # at most buckets + groups rows

@@ -55,16 +55,16 @@ SINK_KEYS = {
 
 # The format names, their own options, and which of them carry changes.
 FORMAT_OPTIONS = {
-    "json": {"ignore-parse-errors", "fail-on-missing-field"},
+    "json": {"ignore-parse-errors", "fail-on-missing-field", "timestamp-format.standard"},
     "csv": {"ignore-parse-errors", "field-delimiter", "quote-character", "null-literal"},
     "raw": {"charset"},
     "avro": set(),
     "avro-confluent": {"schema-registry.subject", "schema-registry.url"},
-    "debezium-json": {"ignore-parse-errors", "schema-include"},
+    "debezium-json": {"ignore-parse-errors", "schema-include", "timestamp-format.standard"},
     "debezium-avro-confluent": {"schema-registry.subject", "schema-registry.url"},
-    "canal-json": {"ignore-parse-errors"},
-    "maxwell-json": {"ignore-parse-errors"},
-    "ogg-json": {"ignore-parse-errors"},
+    "canal-json": {"ignore-parse-errors", "timestamp-format.standard"},
+    "maxwell-json": {"ignore-parse-errors", "timestamp-format.standard"},
+    "ogg-json": {"ignore-parse-errors", "timestamp-format.standard"},
 }
 CHANGELOG_FORMATS = {
     "debezium-json", "debezium-avro-confluent", "canal-json", "maxwell-json", "ogg-json",

@@ -96,6 +96,19 @@ def test_round_trip(spark, fmt, options):
     assert [tuple(r) for r in got] == rows
 
 
+@pytest.mark.parametrize("standard, text", [
+    ("SQL", "2024-01-01 02:03:04.000005"), ("ISO-8601", "2024-01-01T02:03:04.000005")])
+def test_written_times(spark, standard, text):
+    at = datetime.datetime(2024, 1, 1, 2, 3, 4, 5)
+    schema = T.StructType().add("n", T.TimestampNTZType()).add("z", T.TimestampType())
+    df = spark.createDataFrame([(at, at)], schema)
+    body = df.select(formats.encode(F.struct("n", "z"), "json", schema, options={"timestamp-format.standard": standard}).alias("body"))
+    assert json.loads(bytes(body.first()[0])) == {"n": text, "z": text + "Z"}
+    assert tuple(formats.decode(body, "json", schema).select("value.*").first()) == (at, at)
+    with pytest.raises(ValueError, match="timestamp-format.standard"):
+        formats.encode_json(F.struct("n"), {"timestamp-format.standard": "x"})
+
+
 def test_raw(spark):
     assert values(spark, ["text"], "raw", schema="v string") == [{"v": "text"}]
     assert values(spark, [b"\x00\x00\x00\x07"], "raw", schema="v int") == [{"v": 7}]
