@@ -36,15 +36,17 @@ OFFSETS_SCHEMA = T.StructType(
     ]
 )
 
-#: One row per (commit, queue), written next to the data when a batch commits.
+#: Written next to the data when a batch commits: one row per queue the topic has by then.
+#: ``start``/``end`` are the batch's own range (equal where it holds nothing of the queue);
+#: ``end`` and ``seen_ts`` (latest store time so far) only grow from batch to batch.
 RANGES_SCHEMA = T.StructType(
     [
         T.StructField("broker_name", T.StringType()),
         T.StructField("queue_id", T.IntegerType()),
+        T.StructField("earliest", T.LongType()),
         T.StructField("start", T.LongType()),
         T.StructField("end", T.LongType()),
-        T.StructField("min_ts", T.TimestampType()),
-        T.StructField("max_ts", T.TimestampType()),
+        T.StructField("seen_ts", T.TimestampType()),
         T.StructField("ts_quantiles", T.ArrayType(T.LongType())),
     ]
 )

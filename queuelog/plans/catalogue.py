@@ -597,11 +597,9 @@ def hourly_tags(spark, sf):
     SELECT broker_name, queue_id, watermark, (SELECT min(watermark) FROM q) AS combined FROM q""",
 )
 def queue_watermarks(spark, sf):
-    messages = fx.events_messages(spark, sf)
-    each = event_time.queue_watermarks(messages, "5 minutes")
-    # one row next to one row per queue
-    combined = event_time.combined_watermark(messages, "5 minutes").select(F.col("watermark").alias("combined"))
-    return each.join(combined, F.lit(True)).select(*QUEUE, _ntz("watermark").alias("watermark"), _ntz("combined").alias("combined"))
+    each = event_time.queue_watermarks(fx.events_messages(spark, sf), "5 minutes")
+    combined = each.agg(F.min("watermark")).scalar()
+    return each.select(*QUEUE, _ntz("watermark").alias("watermark"), combined.cast("timestamp_ntz").alias("combined"))
 
 
 @query(

@@ -61,33 +61,26 @@ class _Topic:
             self.fs, root = fs.FileSystem.from_uri(path)
         else:
             self.fs, root = fs.LocalFileSystem(), path
-        self.data = f"{root.rstrip('/')}/topic={options['topic']}"
-        self.ranges = f"{root.rstrip('/')}/_ranges/topic={options['topic']}"
+        root = root.rstrip("/")
         self.name = options["topic"]
-        self._seen: dict[int, list] = {}  # commit number → rows of its ranges
+        self.data = f"{root}/topic={self.name}"
+        self.ranges = f"{root}/_ranges/topic={self.name}"
+        self.marks = f"{root}/_commits/topic={self.name}"
+        self._seen: dict[int, list] = {}  # commit number → state of the queues after it
 
     def _children(self, path: str):
         from pyarrow import fs
 
-        selector = fs.FileSelector(path, allow_not_found=True)
-        return self.fs.get_file_info(selector)
+        return self.fs.get_file_info(fs.FileSelector(path, allow_not_found=True))
 
     def commits(self, after: int = -1) -> dict[int, str]:
-        """Number → folder name of committed batches, in order."""
-        found = {}
-        for info in self._children(self.ranges):
-            if not info.base_name.startswith("batch="):
-                continue
-            name = info.base_name.removeprefix("batch=")
-            number = int(name.split("-", 1)[0])
-            if number <= after:
-                continue
-            if number in self._seen or self.fs.get_file_info(f"{info.path}/_SUCCESS").is_file:
-                found[number] = name
-        return dict(sorted(found.items()))
+        """Number → name of committed batches, in order."""
+        names = sorted(info.base_name for info in self._children(self.marks) if not info.base_name.startswith("."))
+        numbered = {int(name.split("-", 1)[0]): name for name in names}
+        return {number: name for number, name in numbered.items() if number > after}
 
     def range_rows(self, number: int, name: str) -> list:
-        """One row per queue of a commit."""
+        """One row per queue known by then."""
         if number not in self._seen:
             import pyarrow.dataset as ds
 
@@ -96,6 +89,14 @@ class _Topic:
             self._seen[number] = folder.to_table(columns=columns).to_pylist()
         return self._seen[number]
 
+    def queues(self) -> list:
+        """Queues known now, for a list that is taken once."""
+        commits = self.commits()
+        if not commits:
+            return []
+        number = max(commits)
+        return sorted((r["broker_name"], r["queue_id"]) for r in self.range_rows(number, commits[number]))
+
     def files(self, name: str) -> list[str]:
         return sorted(i.path for i in self._children(f"{self.data}/batch={name}") if i.base_name.endswith(".parquet"))
 
@@ -183,6 +184,8 @@ class _StreamReader(DataSourceStreamReader):
                 break
             for row in self.topic.range_rows(number, name):
                 times = row["ts_quantiles"]
+                if not times:
+                    continue
                 share = (row["end"] - row["start"]) / len(times)
                 slices += [(t, share) for t in times if here["cut"] is None or t > here["cut"]]
         slices.sort()
@@ -202,7 +205,10 @@ class _StreamReader(DataSourceStreamReader):
         for number, name in self.topic.commits(start["seq"]).items():
             if number > end["group"]:
                 break
-            rows = {(r["broker_name"], r["queue_id"]): r for r in self.topic.range_rows(number, name)}
+            rows = {
+                (r["broker_name"], r["queue_id"]): r
+                for r in self.topic.range_rows(number, name) if r["end"] > r["start"]
+            }
             skip = [(*q, starts[q]) for q, r in rows.items() if r["start"] < starts.get(q, 0)]
             drop = [q for q in rows if known is not None and q not in known]
             if all(q in drop or r["end"] <= starts.get(q, 0) for q, r in rows.items()):

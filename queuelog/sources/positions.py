@@ -27,11 +27,11 @@ def queue_bounds(log: DataFrame) -> DataFrame:
 
 
 def topic_bounds(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """The same from the commit ranges, without touching messages, where they exist."""
-    ranges = storage.batch_ranges(spark, path, topic)
-    if ranges is None:
+    """The same from the last commit, without touching messages, where there are commits."""
+    state = storage.ranges(spark, path, topic)
+    if state is None:
         return queue_bounds(storage.messages(spark, path, topic))
-    return ranges.groupBy(QUEUE_KEY).agg(F.min("start").alias("earliest"), F.max("end").alias("end"))
+    return state.select(*QUEUE_KEY, "earliest", "end")
 
 
 def earliest(bounds: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def collect_offsets(offsets: DataFrame) -> list | None:
     return rows if len(rows) <= MAX_DRIVER_QUEUES else None
 
 
-def restrict(log: DataFrame, starts: DataFrame, ends: DataFrame | None = None) -> DataFrame:
+def restrict(log: DataFrame, starts: DataFrame | list, ends: DataFrame | None = None) -> DataFrame:
     """Messages of the listed queues from their start (and before their end).
 
     Few queues become an OR of literal ranges, which parquet row groups are pruned by. More
@@ -132,6 +132,8 @@ def restrict(log: DataFrame, starts: DataFrame, ends: DataFrame | None = None) -
     ``MAX_DRIVER_QUEUES`` the offsets stay a distributed table.
     """
     spark = log.sparkSession
+    if isinstance(starts, list):
+        starts = spark.createDataFrame([tuple(r) for r in starts], OFFSETS_SCHEMA)
     wanted = starts.select(*QUEUE_KEY, F.col("offset").alias("from_offset"))
     if ends is None:
         wanted = wanted.withColumn("to_offset", F.lit(None).cast("bigint"))
@@ -164,29 +166,37 @@ def _group_path(path: str, group: str, topic: str) -> str:
 
 
 def commit_offsets(spark: SparkSession, path: str, group: str, topic: str, offsets: DataFrame) -> None:
-    """Record next offsets for a group. A queue keeps its last commit."""
+    """Record next offsets for a group. Queues not named keep theirs."""
     folder = _group_path(path, group, topic)
-    commits = [int(n.removeprefix("commit=")) for n in storage.Folder(spark, folder).children() if n.startswith("commit=")]
-    number = max(commits, default=-1) + 1
-    (
-        offsets.select("broker_name", "queue_id", "offset")
-        .coalesce(1)  # one row per queue
-        .write.mode("overwrite")
-        .parquet(f"{folder}/commit={number}")
-    )
+    before = committed_offsets(spark, path, group, topic)
+    state = offsets.select(OFFSETS_SCHEMA.names).unionByName(before.join(offsets, QUEUE_KEY, "left_anti"))
+    number = max(storage.Folder(spark, folder).numbered("commit"), default=-1) + 1
+    # one row per queue
+    state.drop("topic").repartition(1).write.mode("overwrite").parquet(f"{folder}/commit={number}")
 
 
 def committed_offsets(spark: SparkSession, path: str, group: str, topic: str) -> DataFrame:
+    """The group's offsets as of its last complete commit."""
     folder = _group_path(path, group, topic)
-    if not storage.Folder(spark, folder).matching("_SUCCESS"):
-        return spark.createDataFrame([], OFFSETS_SCHEMA)
-    schema = T.StructType([*OFFSETS_SCHEMA.fields[1:], T.StructField("commit", T.LongType())])
-    return (
-        spark.read.schema(schema)
-        .parquet(folder)
-        .groupBy("broker_name", "queue_id")
-        .agg(F.max_by("offset", "commit").alias("offset"))
-        .select(F.lit(topic).alias("topic"), "broker_name", "queue_id", "offset")
+    files = storage.Folder(spark, folder)
+    for number in reversed(files.numbered("commit")):
+        if files.has(f"commit={number}/_SUCCESS"):
+            rows = spark.read.schema(T.StructType(OFFSETS_SCHEMA.fields[1:])).parquet(f"{folder}/commit={number}")
+            return rows.withColumn("topic", F.lit(topic)).select(OFFSETS_SCHEMA.names)
+    return spark.createDataFrame([], OFFSETS_SCHEMA)
+
+
+def needed_from(spark: SparkSession, path: str, topic: str, starts: list) -> str | None:
+    """First batch that holds a message at or after the starts; earlier ones need not be opened."""
+    begun = F.lit(False)
+    if len(starts) <= MAX_LITERAL_QUEUES:
+        for row in starts:
+            begun |= (F.col("broker_name") == row["broker_name"]) & (F.col("queue_id") == row["queue_id"]) & (
+                F.col("end") > row["offset"])
+        return storage.first_batch(spark, path, topic, begun)
+    table = spark.createDataFrame([tuple(r) for r in starts], OFFSETS_SCHEMA)
+    return storage.first_batch(
+        spark, path, topic, lambda state: state.join(table, QUEUE_KEY).where("end > offset")
     )
 
 
@@ -215,6 +225,7 @@ def starting_offsets(
     if mode == "specific-offsets":
         return specific_offsets(bounds, specific or {})
     if mode == "timestamp":
-        log = storage.messages(spark, path, topic)
+        at = F.timestamp_millis(F.lit(timestamp_millis))
+        log = storage.messages(spark, path, topic, storage.first_batch(spark, path, topic, F.col("seen_ts") >= at))
         return timestamp_offsets(log, bounds, timestamp_millis, on_timestamp_miss)
     raise ValueError(f"unknown startup mode '{mode}'")

@@ -106,13 +106,17 @@ def read_messages(
 ) -> DataFrame:
     """The messages themselves, undecoded."""
     o = opt.source_options(options) if isinstance(options, dict) else options
-    messages = storage.messages(spark, o.path, o.topic)
-    if o.startup_mode != "earliest-offset" or ending_offsets is not None:
+    if o.startup_mode == "earliest-offset" and ending_offsets is None:
+        messages = storage.messages(spark, o.path, o.topic)
+    else:
         starts = positions.starting_offsets(
             spark, o.path, o.topic, o.startup_mode, group=o.group, specific=o.specific_offsets,
             timestamp_millis=o.timestamp_millis, committed=committed, on_timestamp_miss=on_timestamp_miss,
         )
-        messages = positions.restrict(messages, starts, ending_offsets)
+        known = positions.collect_offsets(starts)
+        first = None if known is None else positions.needed_from(spark, o.path, o.topic, known)
+        messages = storage.messages(spark, o.path, o.topic, first)
+        messages = positions.restrict(messages, starts if known is None else known, ending_offsets)
     if ending_timestamp_millis is not None:
         messages = messages.where(F.col("store_timestamp") < F.timestamp_millis(F.lit(ending_timestamp_millis)))
     return tag_filter(messages, o.tag)

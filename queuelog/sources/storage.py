@@ -1,18 +1,21 @@
 """Where the messages of a log lie, and which of them are committed.
 
     <log>/topic=<t>/batch=<n>-<txn>/part-*.parquet          messages
-    <log>/_ranges/topic=<t>/batch=<n>-<txn>/part-*.parquet  one row per queue of the batch
+    <log>/_ranges/topic=<t>/batch=<n>-<txn>/part-*.parquet  offsets and times per queue
+    <log>/_commits/topic=<t>/<n>-<txn>                      empty file: the batch counts
     <log>/_groups/group=<g>/topic=<t>/commit=<n>/...        offsets a consumer group committed
 
-A batch counts once its ranges are complete (``_SUCCESS``), which is the last thing a
-writer does. Spark skips names with a leading underscore when it lists data files. A plain
-parquet folder with the message columns under ``topic=<t>`` also works as a log; then
-offset bounds come from a scan of the key columns. One writer at a time per topic.
+The commit file is the last thing a writer makes, and one listing shows all of them. Spark
+skips names with a leading underscore when it lists data files. A plain parquet folder with
+the message columns under ``topic=<t>`` also works as a log; then offset bounds come from a
+scan of the key columns. One writer at a time per topic.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,10 +37,16 @@ class Folder:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(self._root)]
 
-    def matching(self, pattern: str) -> list[str]:
-        """Names of the parents of files that match ``<child>/<pattern>``."""
-        found = self._fs.globStatus(self._jvm.org.apache.hadoop.fs.Path(self._root, f"*/{pattern}"))
-        return [status.getPath().getParent().getName() for status in found or []]
+    def numbered(self, prefix: str) -> list[int]:
+        """Numbers n of the children ``<prefix>=<n>``, ascending."""
+        prefix += "="
+        return sorted(int(n.removeprefix(prefix)) for n in self.children() if n.startswith(prefix))
+
+    def has(self, name: str) -> bool:
+        return self._fs.exists(self._jvm.org.apache.hadoop.fs.Path(self._root, name))
+
+    def touch(self, name: str) -> None:
+        self._fs.create(self._jvm.org.apache.hadoop.fs.Path(self._root, name), True).close()
 
     def delete(self) -> None:
         self._fs.delete(self._root, True)
@@ -51,9 +60,13 @@ def ranges_path(log: str, topic: str) -> str:
     return f"{log.rstrip('/')}/_ranges/topic={topic}"
 
 
+def commits_path(log: str, topic: str) -> str:
+    return f"{log.rstrip('/')}/_commits/topic={topic}"
+
+
 def committed_batches(spark: SparkSession, log: str, topic: str) -> list[str]:
-    names = Folder(spark, ranges_path(log, topic)).matching("_SUCCESS")
-    return sorted(name.removeprefix("batch=") for name in names)
+    """Names of committed batches in commit order."""
+    return sorted(n for n in Folder(spark, commits_path(log, topic)).children() if not n.startswith("."))
 
 
 def started_batches(spark: SparkSession, log: str, topic: str) -> list[str]:
@@ -61,25 +74,55 @@ def started_batches(spark: SparkSession, log: str, topic: str) -> list[str]:
     return sorted(n.removeprefix("batch=") for n in names if n.startswith("batch="))
 
 
-def messages(spark: SparkSession, log: str, topic: str) -> DataFrame:
-    """All committed messages of a topic, with the columns of ``LOG_SCHEMA``."""
+def mark_committed(spark: SparkSession, log: str, topic: str, batch: str) -> None:
+    Folder(spark, commits_path(log, topic)).touch(batch)
+
+
+def messages(spark: SparkSession, log: str, topic: str, first: str | None = None) -> DataFrame:
+    """Committed messages of a topic with the columns of ``LOG_SCHEMA``, from batch ``first`` on."""
     started = started_batches(spark, log, topic)
     schema = _READ_SCHEMA if started else T.StructType(LOG_SCHEMA.fields[1:])
     rows = spark.read.schema(schema).parquet(data_path(log, topic))
+    # both conditions prune whole folders
     unfinished = set(started) - set(committed_batches(spark, log, topic)) if started else set()
-    if unfinished:  # left by a writer that died; prunes whole folders
+    if unfinished:  # left by a writer that died
         rows = rows.where(~F.col("batch").isin(sorted(unfinished)))
+    if first is not None:
+        rows = rows.where(F.col("batch") >= first)
     return rows.withColumn("topic", F.lit(topic)).select(LOG_SCHEMA.names)
 
 
-def batch_ranges(spark: SparkSession, log: str, topic: str) -> DataFrame | None:
-    """Offset and time range of every (batch, queue); ``None`` for a plain parquet folder."""
-    committed = committed_batches(spark, log, topic)
-    if not committed:
+def ranges(spark: SparkSession, log: str, topic: str, batch: str | None = None) -> DataFrame | None:
+    """State of every queue after a batch (the last one by default); ``None`` for a plain folder."""
+    if batch is None:
+        committed = committed_batches(spark, log, topic)
+        if not committed:
+            return None
+        batch = committed[-1]
+    rows = spark.read.schema(RANGES_SCHEMA).parquet(f"{ranges_path(log, topic)}/batch={batch}")
+    return rows.withColumn("topic", F.lit(topic))
+
+
+def first_batch(
+    spark: SparkSession, log: str, topic: str, reached: Callable[[DataFrame], DataFrame] | Column
+) -> str | None:
+    """First batch after which some queue's state satisfies a condition that stays true.
+
+    ``reached`` filters the state. Looks at a logarithmic number of batches. When none gets
+    there, a name between the last batch and the next; ``None`` for a plain folder.
+    """
+    names = committed_batches(spark, log, topic)
+
+    def holds(name: str) -> bool:
+        state = ranges(spark, log, topic, name)
+        return not (state.where(reached) if isinstance(reached, Column) else reached(state)).isEmpty()
+
+    if not names:
         return None
-    return (
-        spark.read.schema(T.StructType([*RANGES_SCHEMA.fields, T.StructField("batch", T.StringType())]))
-        .option("basePath", ranges_path(log, topic))
-        .parquet(*[f"{ranges_path(log, topic)}/batch={b}" for b in committed])
-        .withColumn("topic", F.lit(topic))
-    )
+    if not holds(names[-1]):
+        return names[-1] + "~"
+    low, high = 0, len(names) - 1
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if holds(names[middle]) else (middle + 1, high)
+    return names[low]

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from queuelog import options as opt
 from queuelog.functions import formats
-from queuelog.model import LOG_SCHEMA, QUEUE_KEY, scratch_path
+from queuelog.model import LOG_SCHEMA, QUEUE_KEY, RANGES_SCHEMA, scratch_path
 from queuelog.operators import compaction, partitioners
 from queuelog.operators.indexing import ROWS_PER_BUCKET, dense_index
 from queuelog.sources import positions, storage
@@ -115,15 +115,30 @@ def assign_offsets(
     )
 
 
-def _ranges_of(written: DataFrame) -> DataFrame:
-    micros = F.unix_micros("store_timestamp")
-    return written.groupBy("broker_name", "queue_id").agg(
+def _state_after(written: DataFrame, before: DataFrame | None) -> DataFrame:
+    """Offsets and times of every queue once ``written`` counts (see ``RANGES_SCHEMA``)."""
+    own = written.groupBy("broker_name", "queue_id").agg(
         F.min("queue_offset").alias("start"),
         (F.max("queue_offset") + 1).alias("end"),
-        F.min("store_timestamp").alias("min_ts"),
         F.max("store_timestamp").alias("max_ts"),
-        F.percentile_approx(micros, [i / 20 for i in range(1, 21)], 1000).alias("ts_quantiles"),
+        F.percentile_approx(F.unix_micros("store_timestamp"), [i / 20 for i in range(1, 21)], 1000).alias("ts_quantiles"),
     )
+    if before is None:
+        state = own.withColumns({"earliest": F.col("start"), "seen_ts": F.col("max_ts")})
+    else:
+        past = before.select(
+            "broker_name", "queue_id", "earliest", F.col("end").alias("past_end"), F.col("seen_ts").alias("past_ts")
+        )
+        state = own.join(past, ["broker_name", "queue_id"], "full").withColumns(
+            {
+                "earliest": F.coalesce("earliest", "start"),
+                "start": F.coalesce("start", "past_end"),
+                "end": F.coalesce("end", "past_end"),
+                "seen_ts": F.greatest("max_ts", "past_ts"),
+                "ts_quantiles": F.coalesce("ts_quantiles", F.array().cast("array<bigint>")),
+            }
+        )
+    return state.select(RANGES_SCHEMA.names)
 
 
 def _folder_name(txn: str) -> str:
@@ -186,8 +201,8 @@ def commit(
     name, done = _batch_name(spark, path, topic, _folder_name(txn))
     if done or messages.isEmpty():
         return None
-    ranges = storage.batch_ranges(spark, path, topic)
-    ends = None if ranges is None else ranges.groupBy(QUEUE_KEY).agg(F.max("end").alias("offset"))
+    before = storage.ranges(spark, path, topic)
+    ends = None if before is None else before.withColumn("offset", F.col("end"))
     rows = assign_offsets(messages, order, ends, rows_per_bucket=rows_per_bucket)
     rows = rows.select(LOG_SCHEMA.names).drop("topic")
     if parallelism:
@@ -198,8 +213,10 @@ def commit(
     with _timestamps_with_statistics(spark):
         rows.write.mode("overwrite").parquet(data)
     written = spark.read.schema(rows.schema).parquet(data)
-    target = f"{storage.ranges_path(path, topic)}/batch={name}"
-    _ranges_of(written).coalesce(1).write.mode("overwrite").parquet(target)  # one row per queue
+    with _timestamps_with_statistics(spark):  # one row per queue
+        state = _state_after(written, before).repartition(1)
+        state.write.mode("overwrite").parquet(f"{storage.ranges_path(path, topic)}/batch={name}")
+    storage.mark_committed(spark, path, topic, name)
     return name
 
 

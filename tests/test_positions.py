@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from queuelog import read_log, read_messages, tag_filter
+from queuelog import read_log, read_messages, tag_filter, write_log
 from queuelog.model import LOG_SCHEMA, OFFSETS_SCHEMA
 from queuelog.operators import placement
 from queuelog.plans import fixtures as fx
@@ -98,6 +98,33 @@ def test_tag_filter_is_pushed_down(spark, log):
     assert "EqualTo(tags,click)" in plan.split("PushedFilters")[1]
 
 
+def test_batches_before_the_start_are_not_opened(spark, tmp_path):
+    path = str(tmp_path)
+    events = fx.placed_events(spark, "/root/testdata/sf0.001")
+    for part in range(5):
+        rows = events.where(F.col("event_id").between(part * 200, part * 200 + 199))
+        if part == 3:  # this one leaves most queues as they are
+            rows = rows.where("queue_id = 0")
+        write_log(rows, fx.options(path), exclude=("broker_name", "queue_id"), broker=F.col("broker_name"),
+                  store_timestamp=F.col("ts"), order=["event_id"], stage=False)
+    batches = storage.committed_batches(spark, path, "events")
+    bounds = {(r["broker_name"], r["queue_id"]): r["end"] for r in positions.topic_bounds(spark, path, "events").collect()}
+    scanned = {(r["broker_name"], r["queue_id"]): r["end"] for r in positions.queue_bounds(storage.messages(spark, path, "events")).collect()}
+    assert bounds == scanned and len(bounds) == 8
+    latest = starts(spark, path, "latest-offset")
+    assert positions.needed_from(spark, path, "events", latest.collect()) > batches[-1]
+    one_back = latest.withColumn("offset", F.col("offset") - 1)
+    assert positions.needed_from(spark, path, "events", one_back.collect()) == batches[4]
+    assert positions.needed_from(spark, path, "events", latest.withColumn("offset", F.lit(0)).collect()) == batches[0]
+    third = events.where("event_id = 400").select(F.unix_millis(F.col("ts").cast("timestamp"))).first()[0]
+    options = {**fx.options(path), "scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": str(third)}
+    read = read_log(spark, options, fx.EVENT_SCHEMA)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert f"batch#" in plan and f">= {batches[2]}" in plan
+    want = events.where("event_id >= 400 and (event_id not between 600 and 799 or queue_id = 0)")
+    assert sorted(r["event_id"] for r in read.collect()) == sorted(r["event_id"] for r in want.collect())
+
+
 def test_plain_parquet_folder(spark, log, tmp_path):
     path = str(tmp_path / "plain")
     storage.messages(spark, log, "events").write.partitionBy("topic").parquet(path)

@@ -79,7 +79,7 @@ def test_unfinished_batches_are_not_read(spark, tmp_path):
     o = options(tmp_path)
     write_log(rows(spark, 10), o, exclude=("queue_id",), order=["id"])
     lost = write_log(rows(spark, 10), o, exclude=("queue_id",), order=["id"])
-    marker = tmp_path / "_ranges" / "topic=t" / f"batch={lost}" / "_SUCCESS"
+    marker = tmp_path / "_commits" / "topic=t" / lost
     marker.unlink()
     assert len(offsets(spark, tmp_path)) == 10
     # the next batch starts where the committed ones end
@@ -95,7 +95,7 @@ def test_repeated_transaction_changes_nothing(spark, tmp_path):
     before = offsets(spark, tmp_path)
     assert write_log(df, o, txn="7", exclude=("queue_id",), order=["id"]) is None
     # a writer that died before its commit: the same folder is written again, with the same offsets
-    (tmp_path / "_ranges" / "topic=t" / f"batch={first}" / "_SUCCESS").unlink()
+    (tmp_path / "_commits" / "topic=t" / first).unlink()
     assert write_log(df, o, txn="7", exclude=("queue_id",), order=["id"]) == first
     assert offsets(spark, tmp_path) == before
     with pytest.raises(ValueError, match="txn"):

@@ -118,7 +118,7 @@ def test_discovery(spark, tmp_path, interval, seen):
 def test_uncommitted_batches_are_not_streamed(spark, tmp_path):
     put(spark, tmp_path / "log", range(10))
     name = put(spark, tmp_path / "log", range(10, 20))
-    marker = tmp_path / "log" / "_ranges" / "topic=t" / f"batch={name}" / "_SUCCESS"
+    marker = tmp_path / "log" / "_commits" / "topic=t" / name
     marker.unlink()
     stream = read_log_stream(spark, options(tmp_path / "log"), SCHEMA)
     run(stream, tmp_path)
