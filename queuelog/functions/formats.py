@@ -6,11 +6,15 @@ or many. ``decode`` explodes it; formats with one row per message skip the explo
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterable
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from queuelog.functions import avro, cdc
 from queuelog.model import as_schema
@@ -184,6 +188,40 @@ def decode(
     )
 
 
+def decode_python(
+    messages: DataFrame,
+    open_decoder: Callable[[], Callable[[bytes | None], Iterable[dict]]],
+    schema: T.StructType | str,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Decode bodies with Python code, where no expression can: each body to any number of rows.
+
+    ``open_decoder`` is called once per task and gives the function from a body to its rows.
+    Messages pass through in Arrow batches. ``keep`` names message columns to carry along.
+    """
+    schema = as_schema(schema)
+    keep = list(keep or [])
+    carried = messages.select(*keep, "body")
+    out = T.StructType([*carried.schema.fields[:-1], *schema.fields])
+    arrow, names = to_arrow_schema(out), schema.names
+
+    def run(batches):
+        decode_one = open_decoder()
+        for batch in batches:
+            source, rows = [], {name: [] for name in names}
+            for i, body in enumerate(batch.column("body")):
+                for row in decode_one(body.as_py()):
+                    source.append(i)
+                    for name in names:
+                        rows[name].append(row.get(name))
+            taken = pa.array(source, pa.int64())
+            columns = [batch.column(name).take(taken) for name in keep]
+            columns += [pa.array(rows[name], arrow.field(name).type) for name in names]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
+
+    return carried.mapInArrow(run, out)
+
+
 def split_quarantine(
     messages: DataFrame, fmt: str, schema: T.StructType | str, options: dict | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -231,3 +269,7 @@ def encode(
     if fmt == "debezium-avro-confluent":
         return avro.encode_confluent(cdc.before_after(row, kind, "op", "c", "d"), avro_schema, schema_id)
     raise ValueError(f"unknown format '{fmt}'")
+
+
+# workers may not have this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

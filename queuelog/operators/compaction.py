@@ -18,7 +18,7 @@ def compact_rows(df: DataFrame, producer: list[str], seq: str, keys: list[str],
     """Flush after ``max_rows`` rows of a producer. ``seq`` is its dense row number from 0; 0 is off."""
     if max_rows <= 0:
         return df
-    flush = F.floor(F.col(seq) / max_rows).alias("_flush")
+    flush = (F.col(seq) - F.pmod(F.col(seq), F.lit(max_rows))).alias("_flush")
     return _last_per(df, [*producer, flush, *keys], seq)
 
 

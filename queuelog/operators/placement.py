@@ -23,7 +23,7 @@ def queue_affine_repartition(
     """
     if lanes <= 0:
         raise ValueError("lanes must be positive")
-    lane = F.pmod(F.floor(F.col("queue_offset") / rows_per_lane), F.lit(lanes))
+    lane = F.pmod(F.expr(f"queue_offset div {int(rows_per_lane)}"), F.lit(lanes))
     target = (F.col("owner") * lanes + lane).cast("int")
     return with_owner(df, n).repartitionById(n * lanes, target).sortWithinPartitions("broker_name", "queue_id", "queue_offset")
 

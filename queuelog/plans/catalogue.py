@@ -424,6 +424,46 @@ def metadata_topic(spark, sf):
     )
 
 
+@query("metadata_converter", LOG + "SELECT event_id, 'events/' || broker_name || '/' || queue_id AS source_queue, CAST(ts AS DATE) AS day FROM log")
+def metadata_converter(spark, sf):
+    """Metadata columns from expressions over the message."""
+    name = F.concat_ws("/", "topic", "broker_name", F.col("queue_id").cast("string"))
+    return scan.read_log(
+        spark, _log(spark, sf), fx.EVENT_SCHEMA, columns=["event_id"],
+        metadata={"source_queue": name, "day": F.to_date("store_timestamp")},
+    )
+
+
+@query("custom_deserializer", LOG + "SELECT queue_offset, queue_id, event_id, CAST(unnest(range(event_id % 3)) AS BIGINT) AS part FROM log")
+def custom_deserializer(spark, sf):
+    """A body to any number of rows by user code in Python."""
+
+    def open_decoder():
+        import json
+
+        def decode_one(body):
+            event = json.loads(body)
+            for part in range(event["event_id"] % 3):
+                yield {"event_id": event["event_id"], "part": part}
+
+        return decode_one
+
+    messages = fx.events_messages(spark, sf)
+    return formats.decode_python(messages, open_decoder, "event_id bigint, part bigint", ["queue_offset", "queue_id"])
+
+
+@query("custom_serializer", "SELECT event_id, event_type || ':' || CAST(user_id AS VARCHAR) AS body FROM events")
+def custom_serializer(spark, sf):
+    """A row to a body by a user expression."""
+    names = ["event_id", "event_type", "user_id"]
+    events = fx.table(spark, sf, "events").select(names)
+    body = formats.encode(
+        F.struct(*names), "json", events.schema,
+        encoder=lambda row: F.concat_ws(":", row["event_type"], row["user_id"].cast("string")).cast("binary"),
+    )
+    return events.select("event_id", body.cast("string").alias("body"))
+
+
 @query(
     "sql_over_topic",
     "SELECT event_type, count(*) AS n, sum(user_id) AS users FROM events WHERE value > 10 GROUP BY event_type",
@@ -565,6 +605,23 @@ _str("str_bigint", lambda: F.concat(_c("l_orderkey").cast("string"), F.lit("0000
      "CAST(CAST(l_orderkey AS HUGEINT) * 100000000000000000000000 + 1 AS VARCHAR)", lambda c: c.cast("string"))
 
 
+@query(
+    "str_numeric",
+    """SELECT CAST(l_orderkey % 256 - 128 AS TINYINT) AS a, CAST(l_orderkey % 30000 AS SMALLINT) AS b, CAST(-l_partkey AS INT) AS c,
+       l_orderkey AS d, l_quantity AS e, CASE WHEN l_partkey % 6 <> 0 THEN l_extendedprice END AS f FROM lineitem""",
+)
+def str_numeric(spark, sf):
+    """All number types at once; null stays null."""
+    items = _items(spark, sf).select(
+        (F.col("l_orderkey") % 256 - 128).cast("string").alias("a"), (F.col("l_orderkey") % 30000).cast("string").alias("b"),
+        (-F.col("l_partkey")).cast("string").alias("c"), F.col("l_orderkey").cast("string").alias("d"),
+        F.col("l_quantity").cast("string").alias("e"),
+        F.when(F.col("l_partkey") % 6 != 0, F.col("l_extendedprice").cast("string")).alias("f"),
+    )
+    types = {"a": "tinyint", "b": "smallint", "c": "int", "d": "bigint", "e": "float", "f": "double"}
+    return text.decode_string_fields(items, types).withColumn("e", F.col("e").cast("double"))
+
+
 @query("str_time", f"SELECT {ITEM}, (epoch_us({_SHIFTED}) // 1000) % 86400000 AS field FROM lineitem")
 def str_time(spark, sf):
     items = _items(spark, sf).select(*ITEM.split(", "), fx.millis(_shifted()).cast("string").alias("field"))

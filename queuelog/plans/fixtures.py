@@ -54,7 +54,7 @@ def placed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumns(
         {
             "broker_name": F.concat(F.lit("broker-"), (user % 2).cast("string")),
-            "queue_id": (F.floor(user / 2) % 4).cast("int"),
+            "queue_id": (F.shiftright(user, 1) % 4).cast("int"),
         }
     )
 

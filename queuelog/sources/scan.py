@@ -28,7 +28,7 @@ def _decoded(
     options: opt.SourceOptions,
     schema: T.StructType,
     columns: list[str] | None,
-    metadata: dict[str, str] | list[str] | tuple[str, ...],
+    metadata: dict[str, str | Column] | list[str] | tuple[str, ...],
     on_error: str | None,
     multi: bool,
     decoder: Callable[[Column], Column] | None,
@@ -38,7 +38,7 @@ def _decoded(
         metadata = {name: name for name in metadata}
     known = {*LOG_SCHEMA.names, "row_kind", "is_tombstone"} - {"body"}
     for source in metadata.values():
-        if source not in known:
+        if isinstance(source, str) and source not in known:
             raise ValueError(f"unknown metadata column '{source}', expected one of {sorted(known)}")
     if on_error is None:
         on_error = "skip" if options.format_options.get("ignore-parse-errors") == "true" else "fail"
@@ -55,11 +55,11 @@ def _decoded(
         options=options.format_options, decoder=decoder, registry=registry,
     )
     names = columns if columns is not None else schema.names
-    if options.format in opt.CHANGELOG_FORMATS and "row_kind" not in metadata.values():
+    if options.format in opt.CHANGELOG_FORMATS and "row_kind" not in metadata:
         metadata = {**metadata, "row_kind": "row_kind"}
     return rows.select(
         *[F.col("value")[name].alias(name) for name in names],
-        *[F.col(source).alias(name) for name, source in metadata.items()],
+        *[(F.col(source) if isinstance(source, str) else source).alias(name) for name, source in metadata.items()],
     )
 
 
@@ -70,7 +70,7 @@ def read_log(
     *,
     primary_key: list[str] | None = None,
     columns: list[str] | None = None,
-    metadata: dict[str, str] | list[str] | tuple[str, ...] = (),
+    metadata: dict[str, str | Column] | list[str] | tuple[str, ...] = (),
     committed: DataFrame | None = None,
     ending_offsets: DataFrame | None = None,
     ending_timestamp_millis: int | None = None,
@@ -83,7 +83,8 @@ def read_log(
     """Read a topic from its startup position to its present end.
 
     ``schema`` describes the body. ``columns`` selects some of its fields and parses only
-    those. ``metadata`` appends message columns (a list, or new name → message column).
+    those. ``metadata`` appends message columns: a list, or new name → message column or
+    expression over message columns.
     """
     resolved = opt.source_options(options, primary_key)
     messages = read_messages(
@@ -133,7 +134,7 @@ def read_log_stream(
     max_files_per_trigger: int | None = None,
     committed: DataFrame | None = None,
     columns: list[str] | None = None,
-    metadata: dict[str, str] | list[str] | tuple[str, ...] = ("store_timestamp",),
+    metadata: dict[str, str | Column] | list[str] | tuple[str, ...] = ("store_timestamp",),
     on_error: str | None = None,
     multi: bool = False,
     decoder: Callable[[Column], Column] | None = None,
@@ -183,7 +184,7 @@ def read_log_stream(
         on_error, multi, decoder, registry,
     )
     if watermark:
-        time = [name for name, source in names.items() if source == "store_timestamp"]
+        time = [name for name, source in names.items() if isinstance(source, str) and source == "store_timestamp"]
         if not time:
             raise ValueError("a watermark needs the metadata column 'store_timestamp'")
         rows = with_event_time(rows, watermark, time[0])

@@ -97,9 +97,10 @@ def assign_offsets(
     ends: DataFrame | None = None,
     *,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    total: int | None = None,
 ) -> DataFrame:
     """Append ``queue_offset``: dense per queue, going on from the queue's present end."""
-    indexed = dense_index(messages, QUEUE_KEY, order, "queue_offset", rows_per_bucket=rows_per_bucket)
+    indexed = dense_index(messages, QUEUE_KEY, order, "queue_offset", rows_per_bucket=rows_per_bucket, total=total)
     if ends is None:
         return indexed
     known = positions.collect_offsets(ends)  # exact size for the join, where it is small
@@ -199,11 +200,12 @@ def commit(
     """Write messages as one batch. Readers see all of it or nothing; a committed ``txn`` is kept."""
     spark = messages.sparkSession
     name, done = _batch_name(spark, path, topic, _folder_name(txn))
-    if done or messages.isEmpty():
+    total = 0 if done else messages.count()
+    if not total:
         return None
     before = storage.ranges(spark, path, topic)
     ends = None if before is None else before.withColumn("offset", F.col("end"))
-    rows = assign_offsets(messages, order, ends, rows_per_bucket=rows_per_bucket)
+    rows = assign_offsets(messages, order, ends, rows_per_bucket=rows_per_bucket, total=total)
     rows = rows.select(LOG_SCHEMA.names).drop("topic")
     if parallelism:
         rows = rows.repartitionByRange(parallelism, "broker_name", "queue_id", "queue_offset")
