@@ -52,10 +52,13 @@ def dense_index(
     order: list[str],
     name: str = "row_index",
     *,
+    first: DataFrame | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
     total: int | None = None,
 ) -> DataFrame:
-    """Append a 0-based row number per ``group`` by ``order`` (which must be a total order).
+    """Append a row number per ``group`` by ``order`` (which must be a total order).
+
+    Numbers go up by one from 0, or from the ``first`` of a table with the group columns.
 
     Rows are cut into buckets of ``(group, order)`` ranges whose limits are literals, so the
     bucket of a row never depends on how Spark ran. Each bucket counts its rows, the small
@@ -68,14 +71,19 @@ def dense_index(
     if total is None:
         total = df.count()
     buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
+    begins = None if first is None else first.select(*group, F.col("first").alias("_first"))
     if buckets <= 1:  # everything fits into one bucket, so any group does
         window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
+        numbered = df.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
+        if begins is None:
+            return numbered
+        begun = numbered.join(begins, group, "left").withColumn(name, F.col(name) + F.coalesce("_first", F.lit(0)))
+        return begun.select(*df.columns, name)
 
     key = F.struct(*group, *order)
     splits = _splits(df.select(key.alias("key")), total, buckets)
     if not splits:
-        return dense_index(df, group, order, name, total=0)
+        return dense_index(df, group, order, name, first=first, total=0)
     # the optimizer turns this into one constant
     kind = T.ArrayType(df.select(key.alias("key")).schema["key"].dataType)
     constant = F.sort_array(F.from_json(F.lit(f"[{','.join(splits)}]"), kind))
@@ -84,6 +92,9 @@ def dense_index(
     counts = bucketed.groupBy(*group, "_bucket").count()  # at most buckets + groups rows
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(*group, "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
+    if begins is not None:  # joined to the counts, never to the rows
+        bases = bases.join(begins, group, "left").withColumn("_base", F.col("_base") + F.coalesce("_first", F.lit(0)))
+        bases = bases.drop("_first")
 
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
     return (

@@ -20,6 +20,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from queuelog.model import LOG_SCHEMA
 
+#: A capped trigger plans over at most this many commits at a time.
+MAX_GROUP = 256
+
 _DDL = (
     "topic string, broker_name string, queue_id int, queue_offset bigint, store_timestamp timestamp, "
     "tags string, body binary, headers map<string,binary>, msg_timestamp timestamp"
@@ -89,6 +92,10 @@ class _Topic:
             self._seen[number] = folder.to_table(columns=columns).to_pylist()
         return self._seen[number]
 
+    def forget(self, number: int) -> None:
+        """Commits up to this one are not needed again."""
+        self._seen = {n: rows for n, rows in self._seen.items() if n > number}
+
     def queues(self) -> list:
         """Queues known now, for a list that is taken once."""
         commits = self.commits()
@@ -97,14 +104,16 @@ class _Topic:
         number = max(commits)
         return sorted((r["broker_name"], r["queue_id"]) for r in self.range_rows(number, commits[number]))
 
-    def files(self, name: str) -> list[str]:
-        return sorted(i.path for i in self._children(f"{self.data}/batch={name}") if i.base_name.endswith(".parquet"))
+    def files(self, names: list[str]) -> list[list[str]]:
+        """Message files of each batch."""
+        from concurrent.futures import ThreadPoolExecutor
 
-    def queues(self) -> list:
-        """Queues known now, for a list that is taken once."""
-        return sorted(
-            {(r["broker_name"], r["queue_id"]) for n, name in self.commits().items() for r in self.range_rows(n, name)}
-        )
+        def of(name: str) -> list[str]:
+            found = self._children(f"{self.data}/batch={name}")
+            return sorted(info.path for info in found if info.base_name.endswith(".parquet"))
+
+        with ThreadPoolExecutor(32) as pool:
+            return list(pool.map(of, names))
 
     def read(self, part: FilePart) -> Iterator:
         import pyarrow as pa
@@ -140,7 +149,7 @@ class _BatchReader(DataSourceReader):
 
     def partitions(self):
         topic = _Topic(self.options)
-        return [FilePart(path) for name in topic.commits().values() for path in topic.files(name)]
+        return [FilePart(path) for paths in topic.files(list(topic.commits().values())) for path in paths]
 
     def read(self, partition):
         return _Topic(self.options).read(partition)
@@ -175,54 +184,77 @@ class _StreamReader(DataSourceStreamReader):
 
     def _capped(self, here: dict) -> dict:
         """End at a store time common to all queues, with about ``cap`` messages up to it."""
-        commits = self.topic.commits(here["seq"])
-        group = here["group"] if here["cut"] is not None else max(commits, default=here["seq"])
+        import numpy as np
+
+        if here["cut"] is not None:
+            group = here["group"]
+            commits = {n: name for n, name in self.topic.commits(here["seq"]).items() if n <= group}
+        else:
+            commits = dict(list(self.topic.commits(here["seq"]).items())[:MAX_GROUP])
+            group = max(commits, default=here["seq"])
         # (store time, messages up to it) slices of every queue, from its stored quantiles
-        slices = []
+        times, shares = [], []
         for number, name in commits.items():
-            if number > group:
-                break
             for row in self.topic.range_rows(number, name):
-                times = row["ts_quantiles"]
-                if not times:
-                    continue
-                share = (row["end"] - row["start"]) / len(times)
-                slices += [(t, share) for t in times if here["cut"] is None or t > here["cut"]]
-        slices.sort()
-        budget = self.cap if self.cap is not None else float("inf")
-        for (time, share), (following, _) in zip(slices, slices[1:]):
-            budget -= share
-            if budget <= 0 and following > time:
-                return {**here, "group": group, "cut": time}
+                marks = row["ts_quantiles"]
+                times += marks
+                shares += [(row["end"] - row["start"]) / len(marks)] * len(marks) if marks else []
+        time, share = np.array(times, dtype="int64"), np.array(shares, dtype="float64")
+        if here["cut"] is not None:
+            left = time > here["cut"]
+            time, share = time[left], share[left]
+        by_time = np.argsort(time, kind="stable")
+        time, upto = time[by_time], np.cumsum(share[by_time])
+        # the first time with enough messages up to it that is not the last one
+        at = int(np.searchsorted(upto, self.cap)) if self.cap is not None else len(time)
+        if at < len(time) and time[at] < time[-1]:
+            return {**here, "group": group, "cut": int(time[at])}
         return {**here, "seq": group, "group": group, "cut": None}
 
     def partitions(self, start: dict, end: dict):
         if self.last is None:  # first call after a restart
             self.last = end
-        starts = {(broker, queue): offset for broker, queue, offset in end["starts"]}
-        known = None if end["known"] is None else {tuple(q) for q in end["known"]}
+        starts = {(broker, queue): offset for broker, queue, offset in end["starts"] if offset > 0}
+        commits = [(n, name) for n, name in self.topic.commits(start["seq"]).items() if n <= end["group"]]
+        if not commits:
+            return []
+
+        def ends(i: int) -> dict:
+            return {(r["broker_name"], r["queue_id"]): r["end"] for r in self.topic.range_rows(*commits[i])}
+
+        # what a queue holds only grows, so commits before the first one that gets past a start are skipped
+        low, high = 0, len(commits)
+        while starts and low < high:
+            middle = (low + high) // 2
+            past = any(offset > starts.get(queue, 0) for queue, offset in ends(middle).items())
+            low, high = (low, middle) if past else (middle + 1, high)
+        commits = commits[low:]
+        if not commits:
+            return []
+        foreign = set()
+        if end["known"] is not None:
+            foreign = set(ends(-1)) - {tuple(q) for q in end["known"]}
         parts = []
-        for number, name in self.topic.commits(start["seq"]).items():
-            if number > end["group"]:
-                break
-            rows = {
-                (r["broker_name"], r["queue_id"]): r
-                for r in self.topic.range_rows(number, name) if r["end"] > r["start"]
-            }
-            skip = [(*q, starts[q]) for q, r in rows.items() if r["start"] < starts.get(q, 0)]
-            drop = [q for q in rows if known is not None and q not in known]
-            if all(q in drop or r["end"] <= starts.get(q, 0) for q, r in rows.items()):
-                continue
+        for (number, name), paths in zip(commits, self.topic.files([name for _, name in commits])):
+            skip, drop = [], []
+            if starts or foreign:
+                rows = self.topic.range_rows(number, name)
+                own = {(r["broker_name"], r["queue_id"]): r for r in rows if r["end"] > r["start"]}
+                skip = [(*q, starts[q]) for q, r in own.items() if r["start"] < starts.get(q, 0)]
+                drop = [q for q in own if q in foreign]
+                # starts that are behind us need no look at later commits
+                reached = {(r["broker_name"], r["queue_id"]): r["end"] for r in rows}
+                starts = {q: o for q, o in starts.items() if reached.get(q, 0) < o}
             after = start["cut"] if number <= start["group"] else None
             until = end["cut"] if number > end["seq"] else None
-            parts += [FilePart(path, after, until, skip, drop) for path in self.topic.files(name)]
+            parts += [FilePart(path, after, until, skip, drop) for path in paths]
         return parts
 
     def read(self, partition):
         return _Topic(self.options).read(partition)
 
     def commit(self, end: dict) -> None:
-        """Positions live in the checkpoint; there is nothing to release."""
+        self.topic.forget(end["seq"])
 
 
 class QueueLogSource(DataSource):

@@ -16,6 +16,9 @@ MAX_DRIVER_QUEUES = 10_000
 #: Up to this many queues become literal ranges that reach the parquet scan.
 MAX_LITERAL_QUEUES = 64
 
+#: In a shuffled join a queue is cut into runs of this many messages, dealt to this many tasks.
+RUN_LENGTH, RUNS = 65_536, 32
+
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -128,8 +131,7 @@ def restrict(log: DataFrame, starts: DataFrame | list, ends: DataFrame | None =
     """Messages of the listed queues from their start (and before their end).
 
     Few queues become an OR of literal ranges, which parquet row groups are pruned by. More
-    queues become a local table whose exact size Spark knows when it picks the join. Beyond
-    ``MAX_DRIVER_QUEUES`` the offsets stay a distributed table.
+    become a broadcast table, and beyond ``MAX_DRIVER_QUEUES`` the join is a shuffle.
     """
     spark = log.sparkSession
     if isinstance(starts, list):
@@ -150,12 +152,16 @@ def restrict(log: DataFrame, starts: DataFrame | list, ends: DataFrame | None =
                 one &= F.col(key).eqNullSafe(F.lit(row[key])) if row[key] is None else F.col(key) == row[key]
             condition |= one
         return log.where(condition)
-    if len(rows) <= MAX_DRIVER_QUEUES:
-        wanted = spark.createDataFrame(rows, wanted.schema)
     inside = (F.col("queue_offset") >= F.col("from_offset")) & (
         F.col("to_offset").isNull() | (F.col("queue_offset") < F.col("to_offset"))
     )
-    return log.join(wanted, QUEUE_KEY).where(inside).select(log.columns)
+    if len(rows) <= MAX_DRIVER_QUEUES:  # counted above, so small enough for every executor
+        table = F.broadcast(spark.createDataFrame(rows, wanted.schema))
+        return log.join(table, QUEUE_KEY).where(inside).select(log.columns)
+    # runs of a queue go to different tasks, since one queue may hold much of the log
+    run = F.pmod(F.expr(f"queue_offset div {RUN_LENGTH}"), F.lit(RUNS)).cast("int").alias("_run")
+    table = wanted.withColumn("_run", F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1))))
+    return log.select("*", run).join(table, [*QUEUE_KEY, "_run"]).where(inside).select(log.columns)
 
 
 # -- offsets a consumer group committed --------------------------------------------------

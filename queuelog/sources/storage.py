@@ -80,13 +80,16 @@ def mark_committed(spark: SparkSession, log: str, topic: str, batch: str) -> Non
 
 def messages(spark: SparkSession, log: str, topic: str, first: str | None = None) -> DataFrame:
     """Committed messages of a topic with the columns of ``LOG_SCHEMA``, from batch ``first`` on."""
-    started = started_batches(spark, log, topic)
-    schema = _READ_SCHEMA if started else T.StructType(LOG_SCHEMA.fields[1:])
+    # commits are listed before the files and folders after them, so a batch that is being
+    # written meanwhile is known to be unfinished
+    committed = committed_batches(spark, log, topic)
+    plain = not committed and not started_batches(spark, log, topic)
+    schema = T.StructType(LOG_SCHEMA.fields[1:]) if plain else _READ_SCHEMA
     rows = spark.read.schema(schema).parquet(data_path(log, topic))
+    unfinished = sorted(set(started_batches(spark, log, topic)) - set(committed))
     # both conditions prune whole folders
-    unfinished = set(started) - set(committed_batches(spark, log, topic)) if started else set()
-    if unfinished:  # left by a writer that died
-        rows = rows.where(~F.col("batch").isin(sorted(unfinished)))
+    if unfinished:
+        rows = rows.where(~F.col("batch").isin(unfinished))
     if first is not None:
         rows = rows.where(F.col("batch") >= first)
     return rows.withColumn("topic", F.lit(topic)).select(LOG_SCHEMA.names)
@@ -117,8 +120,8 @@ def first_batch(
         state = ranges(spark, log, topic, name)
         return not (state.where(reached) if isinstance(reached, Column) else reached(state)).isEmpty()
 
-    if not names:
-        return None
+    if len(names) <= 1:
+        return names[0] if names else None
     if not holds(names[-1]):
         return names[-1] + "~"
     low, high = 0, len(names) - 1

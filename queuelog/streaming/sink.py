@@ -100,19 +100,11 @@ def assign_offsets(
     total: int | None = None,
 ) -> DataFrame:
     """Append ``queue_offset``: dense per queue, going on from the queue's present end."""
-    indexed = dense_index(messages, QUEUE_KEY, order, "queue_offset", rows_per_bucket=rows_per_bucket, total=total)
-    if ends is None:
-        return indexed
-    known = positions.collect_offsets(ends)  # exact size for the join, where it is small
-    if known is not None:
-        if not known:
-            return indexed
-        ends = messages.sparkSession.createDataFrame(known, ends.select(*QUEUE_KEY, "offset").schema)
-    ends = ends.select(*QUEUE_KEY, F.col("offset").alias("_end"))
-    return (
-        indexed.join(ends, QUEUE_KEY, "left")
-        .withColumn("queue_offset", F.col("queue_offset") + F.coalesce("_end", F.lit(0)))
-        .drop("_end")
+    first = None
+    if ends is not None:
+        first = ends.select(*QUEUE_KEY, F.col("offset").alias("first"))
+    return dense_index(
+        messages, QUEUE_KEY, order, "queue_offset", first=first, rows_per_bucket=rows_per_bucket, total=total
     )
 
 
