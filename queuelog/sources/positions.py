@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +17,13 @@ MAX_LITERAL_QUEUES = 64
 #: In a shuffled join a queue is cut into runs of this many messages, dealt to this many tasks.
 RUN_LENGTH, RUNS = 65_536, 32
 
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+_RANGE_SCHEMA = T.StructType(
+    [
+        *OFFSETS_SCHEMA.fields[:3],
+        T.StructField("from_offset", T.LongType()),
+        T.StructField("to_offset", T.LongType()),
+    ]
+)
 
 
 def queue_bounds(log: DataFrame) -> DataFrame:
@@ -74,7 +78,7 @@ def timestamp_offsets(
     """First offset stored at or after the time; ``on_miss`` where no message is that late."""
     if on_miss not in ("earliest", "latest"):
         raise ValueError(f"on_miss should be 'earliest' or 'latest', but is '{on_miss}'")
-    at = F.lit(_EPOCH + timedelta(milliseconds=millis))
+    at = F.timestamp_millis(F.lit(millis))
     found = (
         log.where(F.col("store_timestamp") >= at)
         .groupBy(QUEUE_KEY)
@@ -134,14 +138,19 @@ def restrict(log: DataFrame, starts: DataFrame | list, ends: DataFrame | None =
     become a broadcast table, and beyond ``MAX_DRIVER_QUEUES`` the join is a shuffle.
     """
     spark = log.sparkSession
-    if isinstance(starts, list):
-        starts = spark.createDataFrame([tuple(r) for r in starts], OFFSETS_SCHEMA)
-    wanted = starts.select(*QUEUE_KEY, F.col("offset").alias("from_offset"))
-    if ends is None:
-        wanted = wanted.withColumn("to_offset", F.lit(None).cast("bigint"))
+    wanted = None
+    if isinstance(starts, list) and ends is None:  # collected already
+        rows = [Row(**{k: r[k] for k in QUEUE_KEY}, from_offset=r["offset"], to_offset=None) for r in starts]
     else:
-        wanted = wanted.join(ends.select(*QUEUE_KEY, F.col("offset").alias("to_offset")), QUEUE_KEY, "left")
-    rows = wanted.limit(MAX_DRIVER_QUEUES + 1).collect()
+        if isinstance(starts, list):
+            starts = spark.createDataFrame([tuple(r) for r in starts], OFFSETS_SCHEMA)
+        wanted = starts.select(*QUEUE_KEY, F.col("offset").alias("from_offset"))
+        if ends is None:
+            wanted = wanted.withColumn("to_offset", F.lit(None).cast("bigint"))
+        else:
+            stops = ends.select(*QUEUE_KEY, F.col("offset").alias("to_offset"))
+            wanted = wanted.join(stops, QUEUE_KEY, "left")
+        rows = wanted.limit(MAX_DRIVER_QUEUES + 1).collect()
     if len(rows) <= MAX_LITERAL_QUEUES:
         condition = F.lit(False)
         for row in rows:
@@ -156,10 +165,12 @@ def restrict(log: DataFrame, starts: DataFrame | list, ends: DataFrame | None =
         F.col("to_offset").isNull() | (F.col("queue_offset") < F.col("to_offset"))
     )
     if len(rows) <= MAX_DRIVER_QUEUES:  # counted above, so small enough for every executor
-        table = F.broadcast(spark.createDataFrame(rows, wanted.schema))
+        table = F.broadcast(spark.createDataFrame([tuple(r) for r in rows], _RANGE_SCHEMA))
         return log.join(table, QUEUE_KEY).where(inside).select(log.columns)
     # runs of a queue go to different tasks, since one queue may hold much of the log
     run = F.pmod(F.expr(f"queue_offset div {RUN_LENGTH}"), F.lit(RUNS)).cast("int").alias("_run")
+    if wanted is None:
+        wanted = spark.createDataFrame([tuple(r) for r in rows], _RANGE_SCHEMA)
     table = wanted.withColumn("_run", F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1))))
     return log.select("*", run).join(table, [*QUEUE_KEY, "_run"]).where(inside).select(log.columns)
 

@@ -189,3 +189,14 @@ def test_parse_specific_offsets_column(spark):
     for bad in ("", "partition:0", "offset:1,partition:0"):
         with pytest.raises(PySparkException, match="invalid specific offsets"):
             parse(bad)
+
+
+def test_restrict_takes_collected_starts(spark, log, monkeypatch):
+    messages = storage.messages(spark, log, "events")
+    known = positions.collect_offsets(positions.specific_offsets(positions.queue_bounds(messages), {0: 3, 1: 10, 2: 0, 3: 1}))
+    counts = []
+    for literal, driver in ((64, 10_000), (0, 10_000), (0, 1)):
+        monkeypatch.setattr(positions, "MAX_LITERAL_QUEUES", literal)
+        monkeypatch.setattr(positions, "MAX_DRIVER_QUEUES", driver)
+        counts.append(positions.restrict(messages, known).count())
+    assert counts == [1000 - 2 * (3 + 10 + 0 + 1)] * 3
