@@ -16,7 +16,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.catalogue.QUERIES))
 def test_query(spark, db, name):
     got = entry.queries()[name](spark, SF).toPandas()
     want = db.sql(entry.oracle_sql()[name]).df()
