@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from queuelog.llm import mixing, simhash, warc
+from queuelog.llm import boilerplate, covertree, language, mixing, passages, simhash, topk, transducer, warc
 
 QUERIES = {
+    "op1_passages": passages.op1_passages,
     "op2_simhash": simhash.op2_simhash,
+    "op3_lines": boilerplate.op3_lines,
     "op4_mixing": mixing.op4_mixing,
+    "op5_topk": topk.op5_topk,
     "op6_warc": warc.op6_warc,
+    "op7_language": language.op7_language,
+    "op9_sentencepiece": transducer.op9_sentencepiece,
+    "op10_embeddings": covertree.op10_embeddings,
 }
 
 ORACLES = {
+    "op1_passages": passages.OP1_SQL,
+    "op3_lines": boilerplate.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
+    "op5_topk": topk.OP5_SQL,
     "op6_warc": warc.OP6_SQL,
+    "op10_embeddings": covertree.OP10_SQL,
 }
