@@ -17,7 +17,7 @@ from queuelog.llm.common import rows_of, table
 #: Words of a window and of an anchor within it; bytes of text in a block of documents.
 WINDOW, ANCHOR, BLOCK_BYTES = 13, 5, 8 << 20
 #: Phrases of one automaton.
-SHARD = 50_000
+SHARD = 30_000
 NO_ID = (1 << 63) - 1
 
 
@@ -50,32 +50,47 @@ def least_of(values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class _Numbers(dict):
+    """Numbers words in the order they are asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.fresh.append(word)
+        self[word] = n = len(self)
+        return n
+
+
 class Words:
     """Numbers and hashes of words, given out as they come."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = {}
-        self.hashes = np.empty(0, np.uint64)
+        self.number, self.hashes = _Numbers(), np.empty(0, np.uint64)
 
     def numbers(self, text: bytes | None) -> np.ndarray:
         words = text.split() if text else []
-        number = self.number
-        new = set(words).difference(number)
-        if new:
-            more = list(new)
-            number.update(zip(more, range(len(number), len(number) + len(more))))
-            own = np.fromiter(map(xxhash.xxh64_intdigest, more), np.uint64, len(more))
+        out = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if fresh := self.number.fresh:
+            own = np.fromiter(map(xxhash.xxh64_intdigest, fresh), np.uint64, len(fresh))
             self.hashes = np.concatenate([self.hashes, own])
-        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            fresh.clear()
+        return out
 
-    def windows(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per window of a text: 64 bits and 32 more of its hash, and its anchor, the least hash of
-        the phrases of ``ANCHOR`` words in it. Equal windows have equal anchors."""
-        h = self.hashes[numbers]
-        first = rolling(h, WINDOW, 0x9E3779B97F4A7C15)
-        second = rolling(h, WINDOW, 0xD6E8FEB86659FD93) >> np.uint64(32)
-        grams = rolling(h, ANCHOR, 0xC2B2AE3D27D4EB4F)
-        return first, second, least_of(grams, WINDOW - ANCHOR + 1) if len(first) else grams[:0]
+    def first(self, numbers: np.ndarray) -> np.ndarray:
+        """64 bits of the hash of every window."""
+        return rolling(self.hashes[numbers], WINDOW, 0x9E3779B97F4A7C15)
+
+    def second(self, numbers: np.ndarray) -> np.ndarray:
+        """32 more bits."""
+        return rolling(self.hashes[numbers], WINDOW, 0xD6E8FEB86659FD93) >> np.uint64(32)
+
+    def anchor(self, numbers: np.ndarray) -> np.ndarray:
+        """The least hash of the phrases of ``ANCHOR`` words in every window; equal windows agree."""
+        if len(numbers) < WINDOW:
+            return np.empty(0, np.uint64)
+        return least_of(rolling(self.hashes[numbers], ANCHOR, 0xC2B2AE3D27D4EB4F), WINDOW - ANCHOR + 1)
 
 
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
@@ -90,7 +105,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 512)
             own = part.column(1).to_numpy()
             for i, text in enumerate(part.column(2).to_pylist()):
-                found = np.unique(words.windows(words.numbers(text))[2])
+                found = np.unique(words.anchor(words.numbers(text)))
                 anchors.append(found)
                 blocks.append(np.full(len(found), own[i]))
             yield _batch(block=np.concatenate(blocks), anchor=np.concatenate(anchors).view(np.int64))
@@ -102,9 +117,10 @@ def _candidates(key: tuple, docs: pa.Table, anchors: pa.Table) -> pa.Table:
     known, words = np.unique(anchors["anchor"].to_numpy().view(np.uint64)), Words()
     found = [(np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64))]
     for doc_id, text in _texts(docs):
-        first, second, anchor = words.windows(words.numbers(text))
-        hit = _isin(anchor, known)
-        found.append((first[hit], second[hit], np.full(int(hit.sum()), doc_id, np.int64)))
+        numbers = words.numbers(text)
+        hit = np.flatnonzero(_isin(words.anchor(numbers), known))
+        if len(hit):
+            found.append((words.first(numbers)[hit], words.second(numbers)[hit], np.full(len(hit), doc_id, np.int64)))
     first, second, doc = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((doc, second, first))
     first, second, doc = first[order], second[order], doc[order]
@@ -129,7 +145,7 @@ def _texts(docs: pa.Table) -> Iterator[tuple[int, bytes | None]]:
     yield from rows_of(docs.select(["doc_id", "text"]).to_batches())
 
 
-def _phrases(numbers: np.ndarray, hit: np.ndarray) -> Iterator[int]:
+def _phrases(hit: np.ndarray) -> Iterator[int]:
     """Starts of windows that together cover all the windows marked in ``hit``."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
     for a, b in edges.reshape(-1, 2):
@@ -137,25 +153,28 @@ def _phrases(numbers: np.ndarray, hit: np.ndarray) -> Iterator[int]:
         yield b - 1
 
 
-def locate(texts: list[tuple[int, np.ndarray]], phrases: dict[tuple, int]) -> list[np.ndarray]:
-    """Per text (doc_id, word numbers) which words lie in an occurrence of a phrase that belongs to a
+def spell(numbers: np.ndarray) -> str:
+    """Word numbers as text of four characters each, the k-th from the k-th quarter of 256: so the
+    nodes of an automaton have few branches, and a match begins where a word does."""
+    digits = (numbers[:, None] >> np.array([0, 6, 12, 18])) & 63
+    return (digits + np.array([0, 64, 128, 192])).astype(np.uint8).tobytes().decode("latin-1")
+
+
+def locate(texts: list[tuple[int, str]], phrases: dict[str, int]) -> list[np.ndarray]:
+    """Per text (doc_id, spelled words) which words lie in an occurrence of a phrase that belongs to a
     smaller doc_id. Phrases go into automata of ``SHARD``; every text streams through each."""
-    covered = [np.zeros(len(numbers) + 1, np.int64) for _, numbers in texts]
+    covered = [np.zeros(len(text) // 4 + 1, np.int64) for _, text in texts]
     todo = list(phrases.items())
     for at in range(0, len(todo), SHARD):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        part = todo[at : at + SHARD]
-        for i, (phrase, _) in enumerate(part):
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, (phrase, _) in enumerate(todo[at : at + SHARD], at):
             automaton.add_word(phrase, i)
         automaton.make_automaton()
-        owner = [o for _, o in part]
-        for (doc_id, numbers), marks in zip(texts, covered):
-            if len(numbers) < WINDOW:
-                continue
-            for end, i in automaton.iter(tuple(numbers.tolist())):
-                if owner[i] < doc_id:
-                    marks[end - WINDOW + 1] += 1
-                    marks[end + 1] -= 1
+        for (doc_id, text), marks in zip(texts, covered):
+            for end, i in automaton.iter(text):
+                if todo[i][1] < doc_id:
+                    marks[(end + 1) // 4 - WINDOW] += 1
+                    marks[(end + 1) // 4] -= 1
     return [np.cumsum(marks[:-1]) > 0 for marks in covered]
 
 
@@ -168,21 +187,22 @@ def _remove(docs: pa.Table, recurring: pa.Table) -> pa.Table:
     known, first = recurring["w"].to_numpy(), recurring["first"].to_numpy()
     order = np.argsort(known.view(np.uint64))
     known, first = known.view(np.uint64)[order], first[order]
-    words, texts, phrases, own = Words(), [], {}, []
+    words, texts, spelled, phrases = Words(), [], [], {}
     for doc_id, text in _texts(docs):
         numbers = words.numbers(text)
         texts.append((doc_id, numbers))
-        window = words.windows(numbers)[0]
+        spelled.append((doc_id, spell(numbers)))
+        window = words.first(numbers)
         if not len(window) or not len(known):
             continue
         at = np.minimum(np.searchsorted(known, window), len(known) - 1)
-        for a in _phrases(numbers, (known[at] == window) & (first[at] < doc_id)):
-            phrase = tuple(numbers[a : a + WINDOW].tolist())
+        for a in _phrases((known[at] == window) & (first[at] < doc_id)):
+            phrase = spelled[-1][1][4 * a : 4 * (a + WINDOW)]
             phrases[phrase] = min(phrases.get(phrase, NO_ID), int(first[at[a]]))
     out = {"n_words": [], "n_removed": [], "kept": []}
-    spelled = list(words.number)
-    for (_, numbers), gone in zip(texts, locate(texts, phrases)):
-        kept = b" ".join(map(spelled.__getitem__, numbers[~gone].tolist()))
+    names = list(words.number)
+    for (_, numbers), gone in zip(texts, locate(spelled, phrases)):
+        kept = b" ".join(map(names.__getitem__, numbers[~gone].tolist()))
         out["n_words"].append(len(numbers))
         out["n_removed"].append(int(gone.sum()))
         out["kept"].append(kept)

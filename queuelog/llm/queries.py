@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from queuelog.llm import boilerplate, covertree, language, mixing, passages, simhash, topk, transducer, warc
+import corpus_pipeline
+from queuelog.llm import boilerplate, covertree, language, mixing, passages, quality, simhash, topk, transducer, warc
 
 QUERIES = {
     "op1_passages": passages.op1_passages,
@@ -12,8 +13,10 @@ QUERIES = {
     "op5_topk": topk.op5_topk,
     "op6_warc": warc.op6_warc,
     "op7_language": language.op7_language,
+    "op8_quality": quality.op8_quality,
     "op9_sentencepiece": transducer.op9_sentencepiece,
     "op10_embeddings": covertree.op10_embeddings,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
