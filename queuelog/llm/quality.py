@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from queuelog.llm.common import held_out, rows_of, staged, table
 
-#: Bins of a feature, weight of the ridge, most Newton steps, bins of a score histogram.
-BINS, RIDGE, STEPS, GRID = 12, 1e-3, 8, 200
+#: Bins of a feature, weight of the ridge in positives, most Newton steps, bins of a score histogram.
+BINS, RIDGE, STEPS, GRID = 12, 10, 8, 200
+#: Part of the estimated prior that is used: the estimate bounds the prior from above, and a prior
+#: that is too high makes the risk of negatives fall below zero.
+MARGIN = 0.75
 #: Tasks that add up the sums of all tasks.
 MEET = 16
 _CLASSES = {
@@ -109,14 +112,14 @@ def _newton(rows: DataFrame, edges: list[np.ndarray], prior: float) -> np.ndarra
     logistic loss, where the sum of both is convex; steps end where the second term would fall below
     zero, which is where the risk stops being an estimate and starts to overfit."""
     size = 1 + sum(len(e) + 1 for e in edges)
-    w, ridge = np.zeros(size), RIDGE * np.eye(size)
+    w = np.zeros(size)
     for _ in range(STEPS):
         s = _sums(rows, edges, w)
         n, n_pos, loss, loss_pos = s["tail"]
         if not n_pos or loss / n - prior * loss_pos / n_pos < 0:
             break
-        grad = s["grad"] / n - prior * s["pos"] / n_pos + RIDGE * w
-        step = np.linalg.solve(s["curve"] / n + ridge, grad)
+        grad = s["grad"] / n - prior * s["pos"] / n_pos + RIDGE / n_pos * w
+        step = np.linalg.solve(s["curve"] / n + RIDGE / n_pos * np.eye(size), grad)
         step *= min(1.0, 4 / max(1e-9, np.abs(step).max()))
         w = w - step
         if np.abs(step).max() < 1e-3:
@@ -125,9 +128,9 @@ def _newton(rows: DataFrame, edges: list[np.ndarray], prior: float) -> np.ndarra
 
 
 def class_prior(rows: DataFrame, edges: list[np.ndarray], w: np.ndarray) -> float:
-    """Share of positives among all rows: the least ratio, over score thresholds, of the share of all
-    rows above to the share of trusted positives above. Where negatives vanish the ratio is the prior;
-    thresholds with few positives above are left out by their sampling error."""
+    """An upper bound of the share of positives among ``rows``: the least ratio, over score thresholds,
+    of the share of rows above to the share of trusted positives above. Where negatives vanish the
+    ratio is the prior; thresholds with few positives above are left out by their sampling error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, GRID))
@@ -142,7 +145,7 @@ def class_prior(rows: DataFrame, edges: list[np.ndarray], w: np.ndarray) -> floa
     above, above_known = np.cumsum(every[::-1]) / max(1, every.sum()), np.cumsum(known[::-1]) / max(1, known.sum())
     noise = np.sqrt(1 / np.maximum(1, np.cumsum(known[::-1])))
     ratio = np.where(above_known > 0.05, above / np.maximum(above_known, 1e-9) * (1 + noise), 1.0)
-    return float(np.clip(ratio.min(), 0.01, 0.99))
+    return float(ratio.min())
 
 
 def fit(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray, float]:
@@ -154,7 +157,12 @@ def fit(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray, float]:
     n, n_pos = rows.agg(F.count("*"), F.count(F.when(F.col("known"), 1))).first()
     if not n or not n_pos:
         return edges, np.zeros(size), 0.5
-    prior = class_prior(rows, edges, _newton(rows, edges, 0.5))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0  # of the positives rank, the others estimate
+    taught = F.col("known") & half
+    ranked = _newton(rows.select("x", taught.alias("known")), edges, 0.5)
+    n_taught = rows.where(taught).count()
+    bound = class_prior(rows.where(~taught), edges, ranked)
+    prior = MARGIN * float(np.clip((bound * (n - n_taught) + n_taught) / n, 0.01, 1))
     return edges, _newton(rows, edges, prior), prior
 
 
@@ -163,8 +171,8 @@ def quality(docs: DataFrame, trusted: DataFrame, *, doc_id: str = "doc_id", text
 
     ``trusted`` holds the doc_ids known to be good; all texts count as unlabelled. The score is
     logistic in binned style features of the whole text (bins by quantiles over all rows). First a
-    model at prior 1/2 ranks texts, from which the class prior is estimated; then the non-negative
-    unbiased risk is minimised at that prior by Newton steps, each a pass of Spark over the features of
+    model of half of the positives ranks texts, and the other half gives the class prior by it; then
+    the non-negative unbiased risk is minimised at that prior by Newton steps, each a pass of Spark over the features of
     all rows that brings sums of fixed size back. Null and empty texts have all features 0 and a score
     like others. Without positives every score is 1/2. Rows, repeated ones too, are kept.
     """
