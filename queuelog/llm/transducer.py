@@ -8,8 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from queuelog.llm import pieces
 from queuelog.llm.common import table
@@ -243,10 +245,10 @@ def encode(docs: DataFrame, *, path: str = pieces.MODEL, text: str = "text") ->
                 texts = part.column(at).to_pylist()
                 made = _lists([machine.encode(t or "") for t in texts])
                 nulls = pa.array([t is None for t in texts])
-                ids = pa.compute.if_else(nulls, pa.scalar(None, made.type), made)
+                ids = pc.if_else(nulls, pa.scalar(None, made.type), made)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*rest, "ids"])
 
-    return docs.select(*rest).mapInArrow(run, docs.select(*rest).schema.add("ids", "array<int>"))
+    return docs.select(*rest).mapInArrow(run, docs.select(*rest).schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(rows: DataFrame, *, path: str = pieces.MODEL, ids: str = "ids") -> DataFrame:
