@@ -46,8 +46,8 @@ class CoverTree:
 
     def __init__(self, vectors: np.ndarray):
         self.v = vectors
-        members = [np.arange(len(vectors))]
-        self.levels = [self._level(members, [0])]
+        members, parents = [np.arange(len(vectors))], [0]
+        self.levels = [self._level(members, parents)]
         for radius in RADII:
             nodes, parents = [], []
             for i, own in enumerate(members):
@@ -57,74 +57,75 @@ class CoverTree:
                 parents += [i] * len(parts)
             members = nodes
             self.levels.append(self._level(members, parents))
-        self.members = members
+        self.sizes = np.array(list(map(len, members)))
+        self.starts, self.order = np.cumsum(self.sizes) - self.sizes, np.concatenate(members)
 
     def _level(self, members: list[np.ndarray], parents: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Centers, radii and where the children of each node of the level above begin."""
-        centers = np.array([m[0] for m in members])
-        radii = np.array([0.0 if len(m) == 1 else float(distances(self.v[m[:1]], self.v[m]).max()) for m in members])
-        first = np.searchsorted(np.array(parents), np.arange(parents[-1] + 2))
-        return centers, radii, first
+        """Centers, radii and parents of a level's nodes; a center is its node's first member."""
+        order, sizes = np.concatenate(members), np.array(list(map(len, members)))
+        centers = order[np.cumsum(sizes) - sizes]
+        far = np.empty(len(order))
+        for at in range(0, len(order), 65536):
+            part = slice(at, at + 65536)
+            dots = np.einsum("ij,ij->i", self.v[order[part]], self.v[np.repeat(centers, sizes)[part]])
+            far[part] = np.sqrt(np.maximum(0, 2 - 2 * dots))
+        return centers, np.maximum.reduceat(far, np.cumsum(sizes) - sizes), np.array(parents)
 
     def _net(self, own: np.ndarray, radius: float) -> list[np.ndarray]:
         parts, rest = [], own
         while len(rest):
             head = rest[:64]
-            near, chosen = distances(self.v[head], self.v[head]), []
+            near, free, chosen = distances(self.v[head], self.v[head]) <= radius, np.ones(len(head), bool), []
             for i in range(len(head)):
-                if all(near[i, j] > radius for j in chosen):
+                if free[i]:
                     chosen.append(i)
+                    free &= ~near[i]
             to = distances(self.v[rest], self.v[head[chosen]])
             best = to.argmin(1)
             covered = to[np.arange(len(rest)), best] <= radius
             covered[chosen], best[chosen] = True, np.arange(len(chosen))
-            for k, i in enumerate(chosen):
-                inside = rest[covered & (best == k)]
-                parts.append(np.concatenate([[head[i]], inside[inside != head[i]]]))
+            inside, of = rest[covered], best[covered]
+            first = np.ones(len(inside), bool)
+            first[np.isin(inside, head[chosen])] = False  # the center leads its node
+            by = np.lexsort((first, of))
+            parts += np.split(inside[by], np.cumsum(np.bincount(of, minlength=len(chosen)))[:-1])
             rest = rest[~covered]
         return parts
 
 
 def dual(a: CoverTree, b: CoverTree, reach: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of members (index in a, index in b) that may lie within ``reach``: from the roots down,
-    a pair of nodes goes on only if the distance of the centers is at most both covering radii and
-    ``reach``. With ``same`` the trees are one, and each pair comes once."""
-    pairs = [(0, 0)]
-    for (ca, ra, fa), (cb, rb, fb) in zip(a.levels[1:], b.levels[1:]):
-        kept = []
-        for i, j in pairs:
-            cols = np.arange(fb[j], fb[j + 1])
-            step = max(1, SLAB // len(cols))
-            for at in range(fa[i], fa[i + 1], step):
-                rows = np.arange(at, min(at + step, fa[i + 1]))
-                d = distances(a.v[ca[rows]], b.v[cb[cols]])
-                x, y = np.nonzero(d <= ra[rows][:, None] + rb[cols][None, :] + reach + SLACK)
-                x, y = rows[x], cols[y]
-                if same and i == j:
-                    x, y = x[x <= y], y[x <= y]
-                kept.append(np.stack([x, y], 1))
-        pairs = np.concatenate(kept).tolist() if kept else []
-    for i, j in pairs:
-        left, right = a.members[i], b.members[j]
-        step = max(1, SLAB // len(right))
-        for at in range(0, len(left), step):
-            x, y = np.meshgrid(left[at : at + step], right, indexing="ij")
-            x, y = x.ravel(), y.ravel()
-            if same and i == j:
-                x, y = x[x < y], y[x < y]
-            yield x, y
-
-
-def _batched(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    held, n = [], 0
-    for pair in pairs:
-        held.append(pair)
-        n += len(pair[0])
-        if n >= SLAB // 8:
-            yield np.concatenate([p[0] for p in held]), np.concatenate([p[1] for p in held])
-            held, n = [], 0
-    if n:
-        yield np.concatenate([p[0] for p in held]), np.concatenate([p[1] for p in held])
+    a pair of nodes goes on only if its parents did and the distance of the centers is at most both
+    covering radii and ``reach``. A level is done for all its pairs at once, in slabs. With ``same``
+    the trees are one, and each pair comes once."""
+    on = np.ones((1, 1), bool)
+    for (ca, ra, pa_), (cb, rb, pb) in zip(a.levels[1:], b.levels[1:]):
+        below = np.empty((len(ca), len(cb)), bool)
+        step = max(1, SLAB // len(cb))
+        for at in range(0, len(ca), step):
+            part = slice(at, at + step)
+            limit = ra[part][:, None] + (rb + reach + SLACK)[None, :]
+            below[part] = (distances(a.v[ca[part]], b.v[cb]) <= limit) & on[pa_[part]][:, pb]
+            if same:
+                below[part] = np.triu(below[part], at)
+        on = below
+    x, y = np.nonzero(on)
+    many = a.sizes[x] * b.sizes[y]
+    ends = np.cumsum(many)
+    at = 0
+    while at < len(x):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLAB, side="right")))
+        i, j, n = x[at:to], y[at:to], many[at:to]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        wide = np.repeat(b.sizes[j], n)
+        left = a.order[np.repeat(a.starts[i], n) + nth // wide]
+        right = b.order[np.repeat(b.starts[j], n) + nth % wide]
+        if same:
+            inner = np.repeat(i == j, n)
+            ok = ~inner | (left < right)
+            left, right = left[ok], right[ok]
+        yield left, right
+        at = to
 
 
 def _compare(threshold: float):
@@ -140,7 +141,7 @@ def _compare(threshold: float):
         n = np.concatenate([left["n"].to_numpy()] if same else [left["n"].to_numpy(), right["n"].to_numpy()])
         shift = 0 if same else left.num_rows
         links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        for x, y in _batched(dual(a, b, reach, same)):
+        for x, y in dual(a, b, reach, same):
             near = np.einsum("ij,ij->i", a.v[x], b.v[y]) >= threshold
             x, y = x[near], y[near] + shift
             np.add.at(links, x, n[y])

@@ -201,7 +201,8 @@ def read_archives(archives: DataFrame, folder: str, *, range_bytes: int = RANGE,
     cuts = archives.where("bytes > 0").select(
         "path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(range_bytes).cast("bigint"))).alias("start")
     )
-    cuts = cuts.select("path", "start", F.least(F.col("start") + range_bytes, "bytes").alias("end")).repartition("path", "start")
+    cuts = cuts.select("path", "start", F.least(F.col("start") + range_bytes, "bytes").alias("end"))
+    cuts = cuts.repartition(max(1, cuts.count()))  # a task per range
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, _ = store(folder)
