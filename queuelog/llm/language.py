@@ -22,6 +22,13 @@ SAMPLE, ROUNDS, SMOOTH = 1000, 4, 0.01
 #: Words a task keeps scores of, words scored at a time, and the length from which a word goes alone.
 CACHE, SLAB, LONG = 300_000, 20_000, 40
 LETTER = re.compile(r"[^\W\d_]")
+#: ASCII signs and digits, which say little about a language, are left out of words.
+DROP = bytes(b for b in range(33, 127) if not chr(b).isalpha())
+
+
+def words_of(text: str) -> list[str]:
+    """Words of a text as the models see them: lower case, without ASCII signs and digits."""
+    return text.lower().encode().translate(None, DROP).decode().split()
 
 
 class Lattices:
@@ -212,7 +219,7 @@ def fit(labelled: DataFrame, *, path: str = pieces.MODEL, sample: int = SAMPLE,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Counter()
         for text, lang in rows_of(batches):
-            for word, n in Counter(text.lower().split()).items():
+            for word, n in Counter(words_of(text)).items():
                 if len(word) < LONG:
                     found[lang, word] += n
             if len(found) > CACHE:
@@ -270,7 +277,7 @@ def identify(
     """``docs`` with ``lang_pred, score``: the likeliest language and its posterior probability.
 
     A text's probability under a language is the sum over all segmentations into pieces, words apart
-    (white space by Unicode). Languages are equally likely beforehand; ties go to the first in order.
+    (white space by Unicode; lower case; without ASCII signs and digits). Languages are equally likely beforehand; ties go to the first in order.
     Null texts and texts without any letter are ``und`` with score 0; so is everything if no language
     was learned. Rows, repeated ones too, and other columns are kept; ``lang_pred`` and ``score`` are
     replaced.
@@ -287,7 +294,7 @@ def identify(
                 part = batch.slice(start, 256)
                 texts = part.column(at).to_pylist()
                 known = [bool(t and langs and LETTER.search(t)) for t in texts]
-                scores = scorer.texts([t.lower().split() if k else [] for t, k in zip(texts, known)]) if langs else None
+                scores = scorer.texts([words_of(t) if k else [] for t, k in zip(texts, known)]) if langs else None
                 names, values = ["und"] * len(texts), [0.0] * len(texts)
                 for i in np.flatnonzero(known):
                     best = int(scores[i].argmax())
