@@ -187,6 +187,9 @@ def bin_decimal(c: Column, precision: int, scale: int, strict: bool = True) -> C
 class FieldType:
     """Which decoder a declared Spark type selects; refused types are known but not decoded."""
 
+    #: Name of the two's-complement integer without a scale; it is decoded to ``decimal(38,0)``.
+    BIG_INTEGER = "biginteger"
+
     @staticmethod
     def of(declared: T.DataType | str) -> T.DataType:
         if not isinstance(declared, str):
@@ -200,12 +203,12 @@ class FieldType:
 
 def decoder(declared: T.DataType | str, *, strict: bool = True, charset: str = "UTF-8", time_type: bool = False):
     """A function column → column for the declared type; ``TypeError`` for unsupported ones."""
+    if declared == FieldType.BIG_INTEGER:
+        return lambda c: bin_bigint(c, strict)
     kind = FieldType.of(declared)
     if isinstance(kind, FieldType.refused):
         raise TypeError(f"binary fields of type {kind.simpleString()} cannot be decoded")
     if isinstance(kind, T.DecimalType):
-        if kind.precision == 38 and kind.scale == 0:
-            return lambda c: bin_bigint(c, strict)
         return lambda c: bin_decimal(c, kind.precision, kind.scale, strict)
     if isinstance(kind, T.StringType):
         return lambda c: bin_string(c, charset)

@@ -6,6 +6,7 @@ or many. ``decode`` explodes it; formats with one row per message skip the explo
 
 from __future__ import annotations
 
+import itertools
 import sys
 from collections.abc import Callable, Iterable
 
@@ -142,6 +143,8 @@ def decode(
     if on_error == "skip" and fmt.endswith("json"):
         # an undecodable message is dropped; a decodable one keeps its other fields
         messages = messages.where(F.coalesce(well_formed_json(body), F.lit(True)))
+    if on_error == "skip" and fmt == "csv" and decoder is None:
+        messages = split_quarantine(messages, fmt, schema, options)[0]
     rows: Column | None = None  # array of (kind, value), for formats with several rows
     value: Column | None = None
     if decoder is not None:
@@ -176,10 +179,10 @@ def decode(
     tombstone = body.isNull().alias("is_tombstone")
     if value is not None:
         return messages.select("*", value.alias("value"), F.lit("+I").alias("row_kind"), tombstone)
-    # a null body keeps its one row of nulls; an empty array gives no row
-    one_null = F.array(
-        F.struct(F.lit("+I").alias("kind"), F.lit(None).cast(schema).alias("value"))
-    )
+    # a null body keeps its one row of nulls; an empty array gives no row. In a changelog it changes
+    # nothing (the delete came before it), so its row has no kind
+    kind = F.lit(None).cast("string") if "_parsed" in messages.columns else F.lit("+I")
+    one_null = F.array(F.struct(kind.alias("kind"), F.lit(None).cast(schema).alias("value")))
     items = F.when(body.isNull(), one_null).otherwise(rows)
     return (
         messages.select("*", tombstone, F.explode(items).alias("_row"))
@@ -208,16 +211,12 @@ def decode_python(
     def run(batches):
         decode_one = open_decoder()
         for batch in batches:
-            source, rows = [], {name: [] for name in names}
-            for i, body in enumerate(batch.column("body")):
-                for row in decode_one(body.as_py()):
-                    source.append(i)
-                    for name in names:
-                        rows[name].append(row.get(name))
-            taken = pa.array(source, pa.int64())
-            columns = [batch.column(name).take(taken) for name in keep]
-            columns += [pa.array(rows[name], arrow.field(name).type) for name in names]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
+            made = ((i, row) for i, body in enumerate(batch.column("body")) for row in decode_one(body.as_py()))
+            while part := list(itertools.islice(made, 4096)):  # a body may give any number of rows
+                taken = pa.array([i for i, _ in part], pa.int64())
+                columns = [batch.column(name).take(taken) for name in keep]
+                columns += [pa.array([row.get(name) for _, row in part], arrow.field(name).type) for name in names]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
 
     return carried.mapInArrow(run, out)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A queue is identified by these three columns.
@@ -60,6 +61,16 @@ def as_schema(schema: T.StructType | str) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
+def same_key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join on columns of one name in which null equals null. The keys come once."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.join(other, on, how)
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(k, f"_right_{k}") for k in keys})
+    return joined.drop(*(f"_right_{k}" for k in keys))
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder for tables that cut lineage; the one the cluster names, when it names one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

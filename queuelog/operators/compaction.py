@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuelog.operators.indexing import ROWS_PER_BUCKET, dense_index
@@ -14,6 +14,12 @@ def _last_per(df: DataFrame, groups: list, seq: str) -> DataFrame:
     return last.select("_last.*")
 
 
+def _window(ts: str, interval_ms: int) -> Column:
+    """Start of the interval that a time lies in, in microseconds; rows without time share one, null."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    return micros - F.pmod(micros, F.lit(interval_ms * 1000))
+
+
 def compact_rows(df: DataFrame, producer: list[str], seq: str, keys: list[str], max_rows: int) -> DataFrame:
     """Flush after ``max_rows`` rows of a producer. ``seq`` is its dense row number from 0; 0 is off."""
     if max_rows <= 0:
@@ -28,7 +34,7 @@ def compact_interval(
     """Flush whenever ``interval_ms`` of time passed; 0 is off."""
     if interval_ms <= 0:
         return df
-    flush = F.window(ts, f"{interval_ms} milliseconds").alias("_flush")
+    flush = _window(ts, interval_ms).alias("_flush")
     return _last_per(df, [*producer, flush, *keys], seq)
 
 
@@ -50,6 +56,6 @@ def compact(
     if max_rows <= 0 or interval_ms <= 0:
         return df
     group = [*producer, "_window"]
-    timed = df.withColumn("_window", F.window(ts, f"{interval_ms} milliseconds")["start"])
+    timed = df.withColumn("_window", _window(ts, interval_ms))
     rows = dense_index(timed, group, order, "_seq", rows_per_bucket=rows_per_bucket)
     return compact_rows(rows, group, "_seq", keys, max_rows).select(df.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from queuelog.functions.formats import TIME_STANDARDS
+from queuelog.model import same_key_join
 
 #: A sort bucket aims at this many rows.
 ROWS_PER_BUCKET = 2_000_000
@@ -77,7 +78,7 @@ def dense_index(
         numbered = df.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
         if begins is None:
             return numbered
-        begun = numbered.join(begins, group, "left").withColumn(name, F.col(name) + F.coalesce("_first", F.lit(0)))
+        begun = same_key_join(numbered, begins, group, "left").withColumn(name, F.col(name) + F.coalesce("_first", F.lit(0)))
         return begun.select(*df.columns, name)
 
     key = F.struct(*group, *order)
@@ -93,13 +94,13 @@ def dense_index(
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(*group, "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
     if begins is not None:  # joined to the counts, never to the rows
-        bases = bases.join(begins, group, "left").withColumn("_base", F.col("_base") + F.coalesce("_first", F.lit(0)))
+        bases = same_key_join(bases, begins, group, "left").withColumn("_base", F.col("_base") + F.coalesce("_first", F.lit(0)))
         bases = bases.drop("_first")
 
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
+    ranked = bucketed.withColumn("_rank", F.row_number().over(inside))
     return (
-        bucketed.withColumn("_rank", F.row_number().over(inside))
-        .join(bases, [*group, "_bucket"])
+        same_key_join(ranked, bases, [*group, "_bucket"])
         .withColumn(name, F.col("_base") + F.col("_rank") - 1)
         .select(*df.columns, name)
     )

@@ -303,6 +303,15 @@ def decode_csv(spark, sf):
     return formats.decode(events.select(body.cast("binary").alias("body")), "csv", schema).select("value.*")
 
 
+@query("decode_csv_skip", "SELECT l_orderkey AS a, l_extendedprice AS b FROM lineitem WHERE l_orderkey % 5 <> 0")
+def decode_csv_skip(spark, sf):
+    """Bodies that do not parse are dropped."""
+    good = F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_extendedprice").cast("string"))
+    body = F.when(F.col("l_orderkey") % 5 == 0, F.lit("x,y")).otherwise(good).cast("binary")
+    messages = fx.table(spark, sf, "lineitem").select(body.alias("body"))
+    return formats.decode(messages, "csv", "a bigint, b double", on_error="skip").select("value.*")
+
+
 @query("encode_csv", f"SELECT {EVENT_COLUMNS} FROM events")
 def encode_csv(spark, sf):
     events = fx.table(spark, sf, "events")
@@ -519,11 +528,14 @@ _bin("bin_string", lambda: F.when(_c("l_partkey") % 7 != 0, F.concat(_c("l_retur
      "CASE WHEN l_partkey % 7 = 0 THEN '' ELSE l_returnflag || 'é' END")
 _bin("bin_bytes", lambda: fx.big_endian(_c("l_partkey"), 4), "binary",
      "lpad(to_hex(l_partkey), 8, '0')", lambda c: F.hex(c))
-_bin("bin_bigint", lambda: F.concat(fx.big_endian(_c("l_orderkey") - 500, 8), fx.big_endian(_c("l_partkey"), 8)), "decimal(38,0)",
+_bin("bin_bigint", lambda: F.concat(fx.big_endian(_c("l_orderkey") - 500, 8), fx.big_endian(_c("l_partkey"), 8)), "biginteger",
      "CAST(CAST(l_orderkey - 500 AS HUGEINT) * 18446744073709551616 + l_partkey AS VARCHAR)", lambda c: c.cast("string"))
 _bin("bin_decimal",
      lambda: F.concat(fx.big_endian(_c("l_linenumber") % 4, 4), fx.big_endian(_c("l_partkey") * 12345 - 9999999, 8)), "decimal(20,3)",
      "CAST(CAST(l_partkey * 12345 - 9999999 AS DOUBLE) / power(10, l_linenumber % 4) AS DOUBLE)", lambda c: c.cast("double"))
+_bin("bin_decimal38",
+     lambda: F.concat(fx.big_endian(_c("l_partkey") * 0 + 2, 4), fx.big_endian(_c("l_partkey") * 100, 8)), "decimal(38,0)",
+     "CAST(l_partkey AS VARCHAR)", lambda c: c.cast("string"))
 _bin("bin_timestamp", lambda: fx.big_endian(fx.millis(_shifted()), 8), "timestamp",
      f"make_timestamp(epoch_us({_SHIFTED}) // 1000 * 1000)", lambda c: c.cast("timestamp_ntz"))
 _bin("bin_date", lambda: fx.big_endian(fx.millis(_shifted()), 8), "date", f"CAST({_SHIFTED} AS DATE)")
@@ -696,6 +708,20 @@ def upsert_events(spark, sf):
     return changelog.upsert_materialize(kinds, ["user_id"], ["event_id"]).select("user_id", "event_type", "value")
 
 
+@query("upsert_tombstone", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 10 <> 0")
+def upsert_tombstone(spark, sf):
+    """Every delete is followed by a message without body, which changes nothing."""
+    image = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
+    insert = F.concat(F.lit('{"before":null,"op":"c","after":'), image, F.lit("}"))
+    delete = F.concat(F.lit('{"after":null,"op":"d","before":'), image, F.lit("}"))
+    gone = F.array(insert, delete, F.lit(None).cast("string"))
+    bodies = F.when(F.col("o_orderkey") % 10 == 0, gone).otherwise(F.array(insert))
+    messages = fx.table(spark, sf, "orders").select(F.posexplode(bodies).alias("seq", "text"))
+    messages = messages.select("seq", F.col("text").cast("binary").alias("body"))
+    rows = formats.decode(messages, "debezium-json", "o_orderkey bigint, o_orderstatus string")
+    return changelog.upsert_materialize(rows.select("seq", "row_kind", "value.*"), ["o_orderkey"], ["seq"]).drop("seq")
+
+
 @query("upsert_stream", UPSERTED)
 def upsert_stream(spark, sf):
     """A changelog topic read as a stream; changes per key, then the table they lead to."""
@@ -897,6 +923,36 @@ def assign_offsets(spark, sf):
     )
 
 
+@query(
+    "assign_offsets_nulls",
+    """WITH q AS (SELECT *, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey % 8 END AS INT) AS queue_id FROM orders)
+    SELECT queue_id, o_orderkey, 1000 + row_number() OVER (PARTITION BY queue_id ORDER BY o_orderdate, o_orderkey) - 1 AS queue_offset FROM q""",
+)
+def assign_offsets_nulls(spark, sf):
+    """Half of the queues have no broker name."""
+    rows = _hot(spark, sf).withColumn("broker_name", F.when(F.col("queue_id") % 2 == 1, F.col("broker_name")))
+    ends = rows.select(QUEUE_KEY).distinct().withColumn("offset", F.lit(1000).cast("bigint"))
+    return sink.assign_offsets(rows, ["o_orderdate", "o_orderkey"], ends, rows_per_bucket=997).select(
+        "queue_id", "o_orderkey", "queue_offset"
+    )
+
+
+@query(
+    "restrict_many_queues",
+    """SELECT CAST(l_partkey % 80 AS INT) AS queue_id, count(*) AS messages FROM lineitem
+    WHERE l_orderkey * 10 + l_linenumber >= (l_partkey % 80) * 100 GROUP BY 1""",
+)
+def restrict_many_queues(spark, sf):
+    """More queues than become literal ranges, half of them without a broker name."""
+    queue = (F.col("l_partkey") % 80).cast("int")
+    log = fx.table(spark, sf, "lineitem").select(
+        F.lit("items").alias("topic"), F.when(queue % 2 == 0, F.lit("broker-0")).alias("broker_name"), queue.alias("queue_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("queue_offset"),
+    )
+    starts = log.select(QUEUE_KEY).distinct().withColumn("offset", F.col("queue_id").cast("bigint") * 100)
+    return positions.restrict(log, starts).groupBy("queue_id").agg(F.count("*").alias("messages"))
+
+
 def _copy(spark, sf, guarantee: str, replay: bool = False) -> DataFrame:
     """The events topic streamed into another topic."""
     source = fx.events_log(spark, sf)

@@ -128,7 +128,9 @@ class _Topic:
         if part.after is not None:
             wanted &= time > pa.scalar(part.after, pa.timestamp("us", "UTC"))
         if part.until is not None:
-            wanted &= time <= pa.scalar(part.until, pa.timestamp("us", "UTC"))
+            upto = time <= pa.scalar(part.until, pa.timestamp("us", "UTC"))
+            # a message without time goes with the first part of its batch
+            wanted &= (upto | time.is_null()) if part.after is None else upto
         for broker, number, offset in part.skip:
             wanted &= ~(queue(broker, number) & (ds.field("queue_offset") < offset))
         for broker, number in part.drop:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from queuelog.model import OFFSETS_SCHEMA, QUEUE_KEY
+from queuelog.model import OFFSETS_SCHEMA, QUEUE_KEY, same_key_join
 from queuelog.sources import storage
 
 #: More queues than this are handled as a distributed table, never on the driver.
@@ -52,7 +52,7 @@ def latest(bounds: DataFrame) -> DataFrame:
 def group_offsets(bounds: DataFrame, committed: DataFrame) -> DataFrame:
     """Committed offset of the group; the end of the queue where there is none or it is negative."""
     own = committed.select(*QUEUE_KEY, F.col("offset").alias("committed"))
-    return bounds.join(own, QUEUE_KEY, "left").select(
+    return same_key_join(bounds, own, QUEUE_KEY, "left").select(
         *QUEUE_KEY,
         F.when(F.col("committed") >= 0, F.col("committed")).otherwise(F.col("end")).alias("offset"),
     )
@@ -85,7 +85,7 @@ def timestamp_offsets(
         .agg(F.min("queue_offset").alias("found"))
     )
     miss = F.col("earliest" if on_miss == "earliest" else "end")
-    return bounds.join(found, QUEUE_KEY, "left").select(
+    return same_key_join(bounds, found, QUEUE_KEY, "left").select(
         *QUEUE_KEY, F.coalesce("found", miss).alias("offset")
     )
 
@@ -97,7 +97,7 @@ def resume_offsets(read: DataFrame) -> DataFrame:
 
 def capped_ends(starts: DataFrame, bounds: DataFrame, max_messages: int = 64) -> DataFrame:
     """Where one poll of each queue ends: at most ``max_messages`` further on."""
-    return starts.join(bounds, QUEUE_KEY).select(
+    return same_key_join(starts, bounds, QUEUE_KEY).select(
         *QUEUE_KEY, F.least(F.col("end"), F.col("offset") + max_messages).alias("offset")
     )
 
@@ -122,7 +122,7 @@ def parse_specific_offsets(text: Column) -> Column:
 
 def new_queues(current: DataFrame, known: DataFrame) -> DataFrame:
     """Queues not seen before; queues that vanished are not reported."""
-    return current.select(QUEUE_KEY).distinct().join(known.select(QUEUE_KEY), QUEUE_KEY, "left_anti")
+    return same_key_join(current.select(QUEUE_KEY).distinct(), known.select(QUEUE_KEY), QUEUE_KEY, "left_anti")
 
 
 def collect_offsets(offsets: DataFrame) -> list | None:
@@ -149,7 +149,7 @@ def restrict(log: DataFrame, starts: DataFrame | list, ends: DataFrame | None =
             wanted = wanted.withColumn("to_offset", F.lit(None).cast("bigint"))
         else:
             stops = ends.select(*QUEUE_KEY, F.col("offset").alias("to_offset"))
-            wanted = wanted.join(stops, QUEUE_KEY, "left")
+            wanted = same_key_join(wanted, stops, QUEUE_KEY, "left")
         rows = wanted.limit(MAX_DRIVER_QUEUES + 1).collect()
     if len(rows) <= MAX_LITERAL_QUEUES:
         condition = F.lit(False)
@@ -166,13 +166,13 @@ def restrict(log: DataFrame, starts: DataFrame | list, ends: DataFrame | None =
     )
     if len(rows) <= MAX_DRIVER_QUEUES:  # counted above, so small enough for every executor
         table = F.broadcast(spark.createDataFrame([tuple(r) for r in rows], _RANGE_SCHEMA))
-        return log.join(table, QUEUE_KEY).where(inside).select(log.columns)
+        return same_key_join(log, table, QUEUE_KEY).where(inside).select(log.columns)
     # runs of a queue go to different tasks, since one queue may hold much of the log
     run = F.pmod(F.expr(f"queue_offset div {RUN_LENGTH}"), F.lit(RUNS)).cast("int").alias("_run")
     if wanted is None:
         wanted = spark.createDataFrame([tuple(r) for r in rows], _RANGE_SCHEMA)
     table = wanted.withColumn("_run", F.explode(F.sequence(F.lit(0), F.lit(RUNS - 1))))
-    return log.select("*", run).join(table, [*QUEUE_KEY, "_run"]).where(inside).select(log.columns)
+    return same_key_join(log.select("*", run), table, [*QUEUE_KEY, "_run"]).where(inside).select(log.columns)
 
 
 # -- offsets a consumer group committed --------------------------------------------------
@@ -186,7 +186,7 @@ def commit_offsets(spark: SparkSession, path: str, group: str, topic: str, offse
     """Record next offsets for a group. Queues not named keep theirs."""
     folder = _group_path(path, group, topic)
     before = committed_offsets(spark, path, group, topic)
-    state = offsets.select(OFFSETS_SCHEMA.names).unionByName(before.join(offsets, QUEUE_KEY, "left_anti"))
+    state = offsets.select(OFFSETS_SCHEMA.names).unionByName(same_key_join(before, offsets, QUEUE_KEY, "left_anti"))
     number = max(storage.Folder(spark, folder).numbered("commit"), default=-1) + 1
     # one row per queue
     state.drop("topic").repartition(1).write.mode("overwrite").parquet(f"{folder}/commit={number}")
@@ -208,12 +208,12 @@ def needed_from(spark: SparkSession, path: str, topic: str, starts: list) -> str
     begun = F.lit(False)
     if len(starts) <= MAX_LITERAL_QUEUES:
         for row in starts:
-            begun |= (F.col("broker_name") == row["broker_name"]) & (F.col("queue_id") == row["queue_id"]) & (
+            begun |= F.col("broker_name").eqNullSafe(row["broker_name"]) & F.col("queue_id").eqNullSafe(row["queue_id"]) & (
                 F.col("end") > row["offset"])
         return storage.first_batch(spark, path, topic, begun)
     table = spark.createDataFrame([tuple(r) for r in starts], OFFSETS_SCHEMA)
     return storage.first_batch(
-        spark, path, topic, lambda state: state.join(table, QUEUE_KEY).where("end > offset")
+        spark, path, topic, lambda state: same_key_join(state, table, QUEUE_KEY).where("end > offset")
     )
 
 

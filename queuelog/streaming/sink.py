@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from queuelog import options as opt
 from queuelog.functions import formats
-from queuelog.model import LOG_SCHEMA, QUEUE_KEY, RANGES_SCHEMA, scratch_path
+from queuelog.model import LOG_SCHEMA, QUEUE_KEY, RANGES_SCHEMA, same_key_join, scratch_path
 from queuelog.operators import compaction, partitioners
 from queuelog.operators.indexing import ROWS_PER_BUCKET, dense_index
 from queuelog.sources import positions, storage
@@ -122,7 +122,7 @@ def _state_after(written: DataFrame, before: DataFrame | None) -> DataFrame:
         past = before.select(
             "broker_name", "queue_id", "earliest", F.col("end").alias("past_end"), F.col("seen_ts").alias("past_ts")
         )
-        state = own.join(past, ["broker_name", "queue_id"], "full").withColumns(
+        state = same_key_join(own, past, ["broker_name", "queue_id"], "full").withColumns(
             {
                 "earliest": F.coalesce("earliest", "start"),
                 "start": F.coalesce("start", "past_end"),
@@ -155,15 +155,21 @@ def _repeatable(options: opt.SinkOptions, kwargs: dict) -> bool:
 def _batch_name(spark: SparkSession, path: str, topic: str, txn: str) -> tuple[str, bool]:
     """Folder name for a transaction, and whether it is committed already.
 
-    Numbers follow commit order. A transaction seen before keeps its folder, so a repeated
-    write replaces what an interrupted one left.
+    Numbers follow commit order. A repeated write replaces what an interrupted one left, unless
+    another batch was committed since: then it gets a new number, and what it left is never read.
     """
     committed = storage.committed_batches(spark, path, topic)
     started = storage.started_batches(spark, path, topic)
-    for name in {*committed, *started}:
-        if name.split("-", 1)[1] == txn:
-            return name, name in committed
-    number = max((int(n.split("-", 1)[0]) for n in {*committed, *started}), default=-1) + 1
+    number = lambda name: int(name.split("-", 1)[0])
+    last = max(map(number, committed), default=-1)
+    own = [name for name in {*committed, *started} if name.split("-", 1)[1] == txn]
+    for name in own:
+        if name in committed:
+            return name, True
+    for name in own:
+        if number(name) > last:
+            return name, False
+    number = max(map(number, {*committed, *started}), default=-1) + 1
     return f"{number:012d}-{txn}", False
 
 
@@ -216,6 +222,13 @@ def commit(
 
 def _write(df: DataFrame, options: opt.SinkOptions, txn: str, stage: bool, rows_per_bucket: int, kwargs: dict) -> str | None:
     spark = df.sparkSession
+    if _batch_name(spark, options.path, options.topic, _folder_name(txn))[1]:
+        return None
+    if _buffers(options) or options.partitioner == "round-robin" and kwargs.get("producer") is not None:
+        # rows are numbered in several passes, so all of them must see the same rows
+        folder = scratch_path(spark, "rows")
+        df.write.parquet(folder)
+        df = spark.read.schema(df.schema).parquet(folder)
     if _buffers(options):
         if not kwargs.get("order"):
             raise ValueError("buffering by key needs an order of the rows")

@@ -61,13 +61,13 @@ def test_big_integers(spark):
     @given(st.lists(st.integers(1 - 10**38, 10**38 - 1), min_size=10, max_size=40))
     def run(values):
         values = [0, 10**38 - 1, 1 - 10**38, 2**64, -(2**64), 2**63, -(2**63) - 1, *values]
-        assert [int(v) for v in decode(spark, [twos(v) for v in values], "decimal(38,0)")] == values
+        assert [int(v) for v in decode(spark, [twos(v) for v in values], "biginteger")] == values
 
     run()
-    assert [int(v) for v in decode(spark, [b"\xff" * 30 + b"\x85", b"\x00" * 30 + b"\x85"], "decimal(38,0)")] == [-123, 133]
-    assert decode(spark, [b"\x7f" + b"\xff" * 16], "decimal(38,0)", strict=False) == [None]
+    assert [int(v) for v in decode(spark, [b"\xff" * 30 + b"\x85", b"\x00" * 30 + b"\x85"], "biginteger")] == [-123, 133]
+    assert decode(spark, [b"\x7f" + b"\xff" * 16], "biginteger", strict=False) == [None]
     with pytest.raises(PySparkException, match="38 digits"):
-        decode(spark, [b"\x7f" + b"\xff" * 16], "decimal(38,0)")
+        decode(spark, [b"\x7f" + b"\xff" * 16], "biginteger")
 
 
 def test_decimals(spark):
@@ -79,6 +79,7 @@ def test_decimals(spark):
     values = ["1.23", "-99999.5", "0", "123456789012345678.125"]
     got = decode(spark, [*map(packed, values), b"\0\0\0\0", None], "decimal(30,3)")
     assert got == [*map(Decimal, values), None, None]
+    assert decode(spark, [packed("5.00")], "decimal(38,0)") == decode(spark, [packed("5.00")], "decimal(37,0)") == [5]
 
 
 def test_nulls_and_short_input(spark):
