@@ -234,3 +234,43 @@ def test_assigned_offsets_do_not_depend_on_partitions(spark):
         got = sink.assign_offsets(df.repartition(parts), ["id"], rows_per_bucket=50)
         results.append(sorted((r["queue_id"], r["id"], r["queue_offset"]) for r in got.collect()))
     assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("per_bucket", [10, 10**9])
+def test_dense_index_numbers_null_groups(spark, per_bucket):
+    df = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.col("id").alias("b"))
+    first = spark.createDataFrame([(None, 1000), (1, 5)], "g bigint, first bigint")
+    got = {(r["g"], r["b"]): r["row_index"] for r in dense_index(df, ["g"], ["b"], first=first, rows_per_bucket=per_bucket).collect()}
+    begin = {None: 1000, 1: 5, 2: 0}
+    assert got == {(i % 3 or None, i): begin[i % 3 or None] + i // 3 for i in range(300)}
+
+
+def test_buffers_keep_rows_without_time(spark):
+    rows = [(i, T0 if i % 2 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "seq bigint, at timestamp").withColumn("p", F.lit(0))
+    assert compaction.compact(df, ["p"], ["seq"], ["seq"], "at", 1, 1000).count() == 40
+    assert compaction.compact_interval(df, ["p"], "seq", ["seq"], "at", 1000).count() == 40
+    assert compaction.compact(df, ["p"], ["seq"], ["seq"], "at", 1, 1000, rows_per_bucket=7).count() == 40
+
+
+def test_a_retry_after_another_commit_comes_last(spark, tmp_path, monkeypatch):
+    def put(lo, txn):
+        df = spark.range(lo, lo + 10).select(F.col("id"), F.lit("k").alias("key"), F.lit(0).alias("queue_id"))
+        write_log(df, options(tmp_path), exclude=("queue_id",), order=["id"], txn=txn)
+
+    mark = storage.mark_committed
+
+    def crash(*args):
+        raise RuntimeError("lost")
+
+    put(0, "a")
+    monkeypatch.setattr(storage, "mark_committed", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        put(10, "b")
+    monkeypatch.setattr(storage, "mark_committed", mark)
+    put(20, "c")
+    put(10, "b")
+    put(30, "d")
+    got = offsets(spark, tmp_path)
+    assert [o for _, o, _ in got] == list(range(40))
+    assert [i for _, _, i in got] == [*range(10), *range(20, 30), *range(10, 20), *range(30, 40)]
