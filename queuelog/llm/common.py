@@ -39,6 +39,17 @@ def words_of(text: bytes | str | None) -> list[bytes]:
     return (text.encode() if isinstance(text, str) else text).split()
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make):
+    """A Python worker's one large object, for the tasks that follow; another name replaces it."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples; few at a time become Python objects. Binary text stays bytes."""
     for batch in batches:

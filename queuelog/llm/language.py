@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from queuelog.llm import pieces
-from queuelog.llm.common import held_out, rows_of, staged, table
+from queuelog.llm.common import held_out, kept, rows_of, staged, table
 
 #: Labelled documents that are read per language to fit the models, and rounds of fitting.
 SAMPLE, ROUNDS, SMOOTH = 1000, 4, 0.01
 #: Words a task keeps scores of, words scored at a time, and the length from which a word goes alone.
-CACHE, SLAB, LONG = 300_000, 20_000, 40
+CACHE, SLAB, LONG = 250_000, 20_000, 40
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII signs and digits, which say little about a language, are left out of words.
 DROP = bytes(b for b in range(33, 127) if not chr(b).isalpha())
@@ -260,17 +260,6 @@ def _counts(found: Counter) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array(words), pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def scorer_of(name: str, model) -> Scorer:
-    """The model's scorer; a Python worker runs many tasks and keeps it for the next ones."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(*model.value)
-    return _SCORERS[name]
-
-
 def identify(
     docs: DataFrame, langs: list[str], logp: np.ndarray, *, path: str = pieces.MODEL, text: str = "text"
 ) -> DataFrame:
@@ -288,7 +277,7 @@ def identify(
     schema = docs.select(*rest).schema.add("lang_pred", "string").add("score", "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, at = scorer_of(name, model), rest.index(text)
+        scorer, at = kept(name, lambda: Scorer(*model.value)), rest.index(text)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

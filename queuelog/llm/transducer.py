@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
@@ -14,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from queuelog.llm import pieces
-from queuelog.llm.common import table
+from queuelog.llm.common import kept, table
 
 #: Encodings of chunks and verdicts on pairs that a task keeps, and the longest chunk it keeps.
-CACHE, PAIRS, KEEP = 400_000, 1_000_000, 64
+CACHE, PAIRS, KEEP = 250_000, 500_000, 64
 CHUNK = re.compile(f"{pieces.SPACE}*[^{pieces.SPACE}]+|{pieces.SPACE}+")
 
 
@@ -217,10 +216,9 @@ class Transducer:
         return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
-@functools.cache
 def transducer(path: str) -> Transducer:
     """One per Python worker."""
-    return Transducer(path)
+    return kept(path, lambda: Transducer(path))
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
