@@ -23,20 +23,25 @@ SLAB, BLOCK = 1 << 16, 2048
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def fingerprint(text: bytes | None, shingle: int) -> int:
-    """Majority bits of the XXH64 values of a text's word shingles, A-Z lower-cased; 0 without words."""
+def shingle_hashes(text: bytes | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 values of a text's word shingles, A-Z lower-cased, some at a time; none without words."""
     words = text.translate(_LOWER).split() if text else []
-    if not words:
-        return 0
-    n = max(1, len(words) - shingle + 1)
-    votes, hashed = np.zeros(BITS, np.int64), xxhash.xxh64_intdigest
+    n = max(1, len(words) - shingle + 1) if words else 0
+    hashed = xxhash.xxh64_intdigest
     for at in range(0, n, SLAB):
         part = words[at : at + SLAB + shingle - 1]
         joined = b" ".join(part)
         ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
         starts = np.concatenate([[0], ends[:-1]]).tolist()
         ends = (ends - 1)[min(shingle, len(part)) - 1 :].tolist()
-        h = np.array([hashed(joined[a:b], SEED) for a, b in zip(starts, ends)], np.uint64)
+        yield np.array([hashed(joined[a:b], SEED) for a, b in zip(starts, ends)], np.uint64)
+
+
+def fingerprint(text: bytes | None, shingle: int) -> int:
+    """Majority bits of the XXH64 values of a text's word shingles; 0 without words."""
+    votes, n = np.zeros(BITS, np.int64), 0
+    for h in shingle_hashes(text, shingle):
+        n += len(h)
         votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(votes * 2 > n, bitorder="little").view(np.uint64)[0])
 
