@@ -16,7 +16,7 @@ from queuelog.llm import pieces
 from queuelog.llm.common import kept, table
 
 #: Encodings of chunks and verdicts on pairs that a task keeps, and the longest chunk it keeps.
-CACHE, PAIRS, KEEP = 250_000, 500_000, 64
+CACHE, PAIRS, KEEP = 100_000, 250_000, 64
 CHUNK = re.compile(f"{pieces.SPACE}*[^{pieces.SPACE}]+|{pieces.SPACE}+")
 
 
@@ -226,6 +226,18 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32)))
 
 
+def _ids(machine: Transducer, texts: pa.Array) -> pa.Array:
+    found = texts.to_pylist()
+    made = _lists([machine.encode(t or "") for t in found])
+    return pc.if_else(pa.array([t is None for t in found]), pa.scalar(None, made.type), made)
+
+
+def _texts(machine: Transducer, ids: pa.Array) -> pa.Array:
+    values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist()
+    rows = zip(ends, ends[1:], ids.is_valid().to_pylist())
+    return pa.array([machine.decode(values[a:b]) if ok else None for a, b, ok in rows], pa.string())
+
+
 def encode(docs: DataFrame, *, path: str = pieces.MODEL, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array<int>, null for a null text, empty for an empty one).
 
@@ -236,15 +248,9 @@ def encode(docs: DataFrame, *, path: str = pieces.MODEL, text: str = "text") ->
     at = rest.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(path)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
-                texts = part.column(at).to_pylist()
-                made = _lists([machine.encode(t or "") for t in texts])
-                nulls = pa.array([t is None for t in texts])
-                ids = pc.if_else(nulls, pa.scalar(None, made.type), made)
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*rest, "ids"])
+        for part in _parts(batches):
+            ids = _ids(transducer(path), part.column(at))
+            yield pa.RecordBatch.from_arrays([*part.columns, ids], [*rest, "ids"])
 
     return docs.select(*rest).mapInArrow(run, docs.select(*rest).schema.add("ids", T.ArrayType(T.IntegerType())))
 
@@ -255,23 +261,34 @@ def decode(rows: DataFrame, *, path: str = pieces.MODEL, ids: str = "ids") -> Da
     at = rest.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(path)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
-                column = part.column(at)
-                values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
-                texts = [
-                    machine.decode(values[a:b]) if ok else None
-                    for a, b, ok in zip(ends, ends[1:], column.is_valid().to_pylist())
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*rest, "decoded"])
+        for part in _parts(batches):
+            yield pa.RecordBatch.from_arrays([*part.columns, _texts(transducer(path), part.column(at))], [*rest, "decoded"])
 
     return rows.select(*rest).mapInArrow(run, rows.select(*rest).schema.add("decoded", "string"))
 
 
+def encode_and_check(docs: DataFrame, *, path: str = pieces.MODEL, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``round_trip``, whether decoding them gives the text (true for null), in
+    place of the text. Both ways run in one worker, so text and ids cross to Spark once."""
+    rest = [c for c in docs.columns if c not in (text, "ids", "round_trip")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            machine, texts = transducer(path), part.column(len(rest))
+            ids = _ids(machine, texts)
+            same = pc.fill_null(pc.equal(_texts(machine, ids), texts), True)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, same], [*rest, "ids", "round_trip"])
+
+    schema = docs.select(*rest).schema.add("ids", T.ArrayType(T.IntegerType())).add("round_trip", "boolean")
+    return docs.select(*rest, F.col(text).cast("string").alias(text)).mapInArrow(run, schema)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 128):
+            yield batch.slice(start, 128)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = decode(encode(docs))
-    same = F.col("decoded").eqNullSafe(F.col("text"))
-    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", same.alias("round_trip"))
+    rows = encode_and_check(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", "round_trip")

@@ -357,6 +357,16 @@ def test_pieces(spark, odd, none):
         assert machine.encode(text).tolist() == model.encode(text)
 
 
+def test_pieces_checked_in_one_pass(spark, odd, none):
+    both = transducer.decode(transducer.encode(odd)).collect()
+    got = transducer.encode_and_check(odd).collect()
+    key = lambda r: (str(r.doc_id), r.ids or [])
+    assert sorted(map(key, got)) == sorted(map(key, both))
+    want = sorted((str(r.doc_id), r.decoded == r.text) for r in both)
+    assert sorted((str(r.doc_id), r.round_trip) for r in got) == want
+    assert "text" not in got[0] and transducer.encode_and_check(none).count() == 0
+
+
 def test_components(spark):
     r = random.Random(7)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(r.randint(0, 50), r.randint(0, 50)) for _ in range(30)] + [(900, i) for i in range(901, 930)]
