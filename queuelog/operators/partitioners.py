@@ -68,9 +68,9 @@ def load(name: str) -> Partitioner:
     try:
         found = getattr(importlib.import_module(module), cls)
     except (ImportError, AttributeError, ValueError) as e:
-        raise ValueError(f"could not find partitioner class '{name}'") from e
+        raise ValueError(f"no class to import as partitioner: '{name}'") from e
     if not (isinstance(found, type) and issubclass(found, Partitioner)):
-        raise ValueError(f"partitioner class '{name}' should extend {Partitioner.__module__}.Partitioner")
+        raise ValueError(f"'{name}' is not a subclass of {Partitioner.__module__}.Partitioner")
     return found()
 
 

@@ -116,12 +116,12 @@ def validate_primary_key(fmt: str, primary_key: list[str] | None) -> None:
 
 
 def parse_specific_offsets(text: str) -> dict[int, int]:
-    """``partition:0,offset:42;partition:1,offset:300`` as a dict; the last duplicate wins."""
+    """``partition:0,offset:1200;partition:5,offset:80`` as a dict; the last duplicate wins."""
 
     def bad() -> ValueError:
         return ValueError(
             f"'{SPECIFIC_OFFSETS}' should look like "
-            f"'partition:0,offset:42;partition:1,offset:300', but is '{text}'"
+            f"'partition:0,offset:1200;partition:5,offset:80', but is '{text}'"
         )
 
     entries = re.sub(";+$", "", text).split(";")  # empty entries at the end do not count
@@ -216,7 +216,7 @@ def source_options(options: dict, primary_key: list[str] | None = None) -> Sourc
         raise ValueError(f"unknown '{STARTUP_MODE}': '{mode}', expected one of {STARTUP_MODES}")
     for needed_by, key in (("timestamp", TIMESTAMP_MILLIS), ("specific-offsets", SPECIFIC_OFFSETS)):
         if mode == needed_by and options.get(key) is None:
-            raise ValueError(f"'{key}' is required in '{mode}' startup mode but missing")
+            raise ValueError(f"to start at '{mode}', give '{key}' too")
     validate_primary_key(fmt, primary_key)
     _integer(options, CONSUMER_TIMEOUT, 30_000)
     return SourceOptions(
@@ -271,9 +271,9 @@ def sink_options(options: dict, primary_key: list[str] | None = None) -> SinkOpt
         keys = [k for k in keys.split(";") if k]
     partitioner = options.get(PARTITIONER)
     if partitioner == "":
-        raise ValueError(f"'{PARTITIONER}' should be a non-empty string")
+        raise ValueError(f"'{PARTITIONER}' is empty; leave it out to take the default")
     if partitioner == "round-robin" and options.get(KEY_FIELDS) is not None:
-        raise ValueError(f"'{PARTITIONER}' 'round-robin' only works without '{KEY_FIELDS}'")
+        raise ValueError(f"round-robin does not look at '{KEY_FIELDS}': set that or '{PARTITIONER}', not both")
     guarantee = delivery_guarantee(options)
     prefix = check_txn_prefix(options.get(TXN_PREFIX))
     if guarantee == "exactly-once" and prefix is None:

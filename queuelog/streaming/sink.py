@@ -300,8 +300,8 @@ def write_log_stream(
     """A writer for a stream; set a trigger and ``start()`` it.
 
     ``none`` and ``at-least-once`` append every batch run, so a batch run again appears
-    again. ``exactly-once`` names a batch by prefix and batch id, and a batch run again
-    replaces or repeats nothing. ``commit_group`` = (log path, topic, group) records, after
+    again. ``exactly-once`` names a batch by prefix, query and batch id, and a batch run again
+    replaces or repeats nothing; a query with a new checkpoint is another query. ``commit_group`` = (log path, topic, group) records, after
     each batch, the next offsets of the rows read; they need the queue columns and
     ``queue_offset``, which are kept out of the body.
     """
@@ -315,7 +315,12 @@ def write_log_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        txn = f"{resolved.txn_prefix}-{batch_id}" if resolved.guarantee == "exactly-once" else uuid.uuid4().hex
+        txn = uuid.uuid4().hex
+        if resolved.guarantee == "exactly-once":
+            query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")  # the checkpoint keeps it
+            if not query:
+                raise RuntimeError("an exactly-once batch does not know its streaming query")
+            txn = f"{resolved.txn_prefix}-{query}-{batch_id}"
         if not commit_group and not _buffers(resolved):
             _write(batch, resolved, txn, True, rows_per_bucket, kwargs)
             return

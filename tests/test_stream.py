@@ -150,13 +150,13 @@ def test_batch_format(spark, tmp_path):
     assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
 
 
-def copy(spark, tmp_path, guarantee, **kw):
+def copy(spark, tmp_path, guarantee, checkpoint="checkpoint", **kw):
     o = {**fx.options(str(tmp_path / "copy"), "t"), "sink.delivery-guarantee": guarantee, "sink.transactional-id-prefix": "p"}
     source = options(tmp_path / "log", "group-offsets")
     stream = read_log_stream(spark, {**source, "scan.startup.mode": "earliest-offset"}, SCHEMA,
                              metadata=["store_timestamp", "topic", "broker_name", "queue_id", "queue_offset"])
     query = write_log_stream(
-        stream, o, checkpoint=f"{tmp_path}/checkpoint", commit_group=(str(tmp_path / "log"), "t", "g1"),
+        stream, o, checkpoint=f"{tmp_path}/{checkpoint}", commit_group=(str(tmp_path / "log"), "t", "g1"),
         exclude=("store_timestamp",), store_timestamp=F.col("store_timestamp"), order=["id"], queues=3,
         partitioner=lambda row, *a: F.pmod(row["id"], F.lit(3)), **kw,
     ).start()
@@ -192,6 +192,16 @@ def test_delivery_and_replay(spark, tmp_path, guarantee):
     assert read_log(spark, options(tmp_path / "log", "group-offsets"), SCHEMA).count() == 0
 
 
+def test_exactly_once_with_a_new_checkpoint(spark, tmp_path):
+    put(spark, tmp_path / "log", range(10))
+    copy(spark, tmp_path, "exactly-once")
+    put(spark, tmp_path / "log", range(10, 20))
+    copy(spark, tmp_path, "exactly-once", checkpoint="other")  # reads all from the start
+    assert sorted(i for *_, i in copied(spark, tmp_path)) == sorted([*range(10), *range(20)])
+    copy(spark, tmp_path, "exactly-once", checkpoint="other")
+    assert len(copied(spark, tmp_path)) == 30
+
+
 def test_guarantees_need_a_checkpoint(spark, tmp_path):
     put(spark, tmp_path / "log", range(3))
     stream = read_log_stream(spark, options(tmp_path / "log"), SCHEMA)
