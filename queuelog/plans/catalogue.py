@@ -971,10 +971,11 @@ def _copy(spark, sf, guarantee: str, replay: bool = False) -> DataFrame:
     )
     if guarantee == "none":
         writer = writer.option("checkpointLocation", f"{folder}/progress")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    if replay:  # the same batch once more
+    run = writer.trigger(availableNow=True).start()
+    run.awaitTermination()
+    if replay:  # the same batch of the same streaming query once more
         batch = scan.read_log(spark, fx.options(source), fx.EVENT_SCHEMA, metadata=["store_timestamp"])
-        sink.write_log(batch, target, txn="0", exclude=("store_timestamp",), store_timestamp=F.col("store_timestamp"),
+        sink.write_log(batch, target, txn=f"{run.id}-0", exclude=("store_timestamp",), store_timestamp=F.col("store_timestamp"),
                        order=["event_id"], partitioner=_users, queues=4)
     return _per_queue(storage.messages(spark, f"{folder}/log", "copy"))
 
