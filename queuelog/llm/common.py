@@ -100,7 +100,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn, each a minimum per node (combined before the shuffle)
     and a join whose other side has one row per node. Tasks first contract their own links. Every
-    round is written to the shared folder; the driver only hears whether every link ends at a root.
+    round is written to the shared folder; the driver only hears whether every link ends at a root, one
+    for each node.
     """
     u, v = links.columns
     edges = links.select(F.col(u).cast("bigint").alias("u"), F.col(v).cast("bigint").alias("v"))
@@ -116,6 +117,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small")
         inner = edges.select("v").distinct().join(edges.select(F.col("u").alias("v")), "v", "left_semi")
-        done = inner.isEmpty()  # every node points at a node that points nowhere
+        torn = edges.groupBy("u").count().where("count > 1")
+        done = inner.isEmpty() and torn.isEmpty()  # every node points at one node, which points nowhere
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -376,6 +376,22 @@ def test_components(spark):
     assert dict(map(tuple, got)) == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_components_of_paths(spark, seed):
+    """Tasks that can contract nothing: every link of a path lies in a task of its own."""
+    r, paths = random.Random(seed), []
+    for i in range([0, 1, 1, 2, 40][seed]):
+        paths.append([100 * i + n for n in r.sample(range(100), r.randint(5, 12))])
+    tasks = [[p[i : i + 2] for p in paths if i + 1 < len(p)] for i in range(11)]
+    if not seed:
+        tasks = [[(5, 1), (4, 3)], [(5, 4), (3, 2)]]
+    links = spark.sparkContext.parallelize(tasks, len(tasks)).flatMap(lambda task: [tuple(p) for p in task])
+    got = common.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    pairs = {frozenset(p) for task in tasks for p in task}
+    want = linked(sorted(set().union(*pairs)), lambda a, b: frozenset((a, b)) in pairs)
+    assert dict(map(tuple, got)) == want and len(got) == len(want)
+
+
 def test_pipeline(spark):
     docs = common.table(spark, SF, "documents")
     stages = dict(corpus_pipeline.STAGES)
