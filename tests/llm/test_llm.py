@@ -13,7 +13,7 @@ import xxhash
 import __spark_entry__ as entry
 import check
 import corpus_pipeline
-from queuelog.llm import boilerplate, common, covertree, language, mixing, passages, pieces, quality, queries, simhash, topk, transducer, warc, widehash
+from queuelog.llm import boilerplate, common, covertree, language, mixing, passages, pieces, quality, queries, shingles, simhash, topk, transducer, warc, widehash
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, block bigint, fp string, _draw int"
@@ -224,6 +224,60 @@ def test_similar_texts_are_found(spark):
     assert sum(got[2 * i + 1] == 2 * i for i in range(150)) >= 145
 
 
+def brute_grams(text, shingle=5):
+    w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+    return {tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set()
+
+
+def brute_jaccard(a, b):
+    return a == b or 10 * len(a & b) >= 8 * len(a | b)
+
+
+@pytest.mark.parametrize("block", [1 << 20, 150])
+def test_shingle_sets_are_joined_exactly(spark, odd, none, monkeypatch, block):
+    """All pairs at four fifths and no other: short and long texts, one edit and many, in one block or several."""
+    monkeypatch.setattr(shingles, "BLOCK", block)
+    r = random.Random(2)
+    rows = [(r.doc_id, r.text) for r in odd.where("length(text) < 10000 or text is null").collect()]
+    for n in [*range(1, 30), *range(30, 400, 15)]:
+        base = [f"w{r.randrange(5000)}" for _ in range(n)]
+        for copies in range(6):
+            rows.append((r.randrange(10_000), " ".join(base)))
+            at = r.randrange(len(base) + 1)
+            base[at : at + r.randint(0, 1 + n // 40)] = [f"n{r.randrange(5000)}" for _ in range(r.randint(0, 1 + n // 40))]
+            base = base or ["w"]
+    grams = [brute_grams(t) for _, t in rows]
+    root = linked(range(len(rows)), lambda a, b: brute_jaccard(grams[a], grams[b]))
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root[i]] = min(least.get(root[i], math.inf), d)
+    want = sorted(((d, least.get(root[i])) for i, (d, _) in enumerate(rows)), key=str)
+    got = shingles.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert shingles.similar_documents(none).count() == 0
+
+
+def test_pipeline_drops_pairs_at_four_fifths_and_no_other(spark):
+    r = random.Random(12)
+    rows, drops = [], set()
+    for i in range(120):
+        words = [f"{i}x{k}" for k in range(r.randint(60, 300))]
+        copy, pairs = list(words), []
+        while not pairs or pairs[-1][0] > 0.7:
+            copy[r.randrange(len(copy))] = f"{i}y{len(pairs)}"
+            a, b = brute_grams(" ".join(words)), brute_grams(" ".join(copy))
+            pairs.append((len(a & b) / len(a | b), " ".join(copy)))
+        above = [t for j, t in pairs if j >= 0.8]
+        below = [t for j, t in pairs if j < 0.8]
+        near = i % 2 == 0 and above
+        rows += [(2 * i, " ".join(words), "s"), (2 * i + 1, above[-1] if near else below[0], "s")]
+        drops |= {2 * i + 1} if near else set()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()}
+    assert got == {d for d, _, _ in rows} - drops and len(drops) > 40
+
+
 def test_lines(odd, none):
     got = boilerplate.drop_boilerplate(odd, ratio=0.1, min_pages=3)
     assert got.columns[: len(odd.columns)] == odd.columns and got.count() == odd.count()
