@@ -2,8 +2,8 @@
 
 A stream position is ``{"seq", "group", "cut", "known"}``: commits up to ``seq`` are read in
 full, and of the commits in ``(seq, group]`` the messages stored up to ``cut`` (microseconds).
-A capped trigger therefore ends at one store time for all queues, so a watermark moves no
-faster than the slowest queue of the slice. Each task reads one message file.
+A capped trigger therefore ends at one store time for all queues and all commits there are, so a
+watermark moves no faster than the slowest queue. Each task reads one message file.
 
 Classes here run in plain Python processes and take everything from their options.
 """
@@ -20,9 +20,6 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from queuelog.model import LOG_SCHEMA
 
-#: A capped trigger plans over at most this many commits at a time.
-MAX_GROUP = 256
-
 _DDL = (
     "topic string, broker_name string, queue_id int, queue_offset bigint, store_timestamp timestamp, "
     "tags string, body binary, headers map<string,binary>, msg_timestamp timestamp"
@@ -96,6 +93,9 @@ class _Topic:
         """Commits up to this one are not needed again."""
         self._seen = {n: rows for n, rows in self._seen.items() if n > number}
 
+    def forget_one(self, number: int) -> None:
+        self._seen.pop(number, None)
+
     def queues(self) -> list:
         """Queues known now, for a list that is taken once."""
         commits = self.commits()
@@ -164,6 +164,7 @@ class _StreamReader(DataSourceStreamReader):
         cap = self.options.get("maxmessagespertrigger")
         self.cap = int(cap) if cap else None
         self.last: dict | None = None  # position up to which batches are planned
+        self.marks: dict = {}  # commit number → store times not read yet and the messages up to each
 
     def initialOffset(self) -> dict:
         starts = self.options.get("starts")
@@ -188,31 +189,43 @@ class _StreamReader(DataSourceStreamReader):
         """End at a store time common to all queues, with about ``cap`` messages up to it."""
         import numpy as np
 
-        if here["cut"] is not None:
-            group = here["group"]
-            commits = {n: name for n, name in self.topic.commits(here["seq"]).items() if n <= group}
-        else:
-            commits = dict(list(self.topic.commits(here["seq"]).items())[:MAX_GROUP])
-            group = max(commits, default=here["seq"])
-        # (store time, messages up to it) slices of every queue, from its stored quantiles
-        times, shares = [], []
+        commits = self.topic.commits(here["seq"])
+        group = max(commits, default=here["seq"])
         for number, name in commits.items():
-            for row in self.topic.range_rows(number, name):
-                marks = row["ts_quantiles"]
-                times += marks
-                shares += [(row["end"] - row["start"]) / len(marks)] * len(marks) if marks else []
-        time, share = np.array(times, dtype="int64"), np.array(shares, dtype="float64")
+            if number not in self.marks:
+                self.marks[number] = self._slices(number, name)
+        self.marks = {n: self.marks[n] for n in commits}
         if here["cut"] is not None:
-            left = time > here["cut"]
-            time, share = time[left], share[left]
+            for number in commits:
+                if number <= here["group"]:
+                    time, share = self.marks[number]
+                    self.marks[number] = time[time > here["cut"]], share[time > here["cut"]]
+        time, share = (np.concatenate([np.empty(0, kind), *(m[i] for m in self.marks.values())]) for i, kind in enumerate(("int64", "float64")))
         by_time = np.argsort(time, kind="stable")
         time, upto = time[by_time], np.cumsum(share[by_time])
         # the first time with enough messages up to it that is not the last one
         at = int(np.searchsorted(upto, self.cap)) if self.cap is not None else len(time)
         if at < len(time) and time[at] < time[-1]:
-            return {**here, "group": group, "cut": int(time[at])}
+            cut, seq = int(time[at]), here["seq"]
+            for number in commits:  # the first ones may be read in full by then
+                if (self.marks[number][0] > cut).any():
+                    break
+                seq = number
+            return {**here, "seq": seq, "group": group, "cut": cut}
         return {**here, "seq": group, "group": group, "cut": None}
 
+    def _slices(self, number: int, name: str) -> tuple:
+        """Store times and messages up to each, of every queue of a commit, from its stored quantiles."""
+        import numpy as np
+
+        times, shares = [], []
+        for row in self.topic.range_rows(number, name):
+            marks = row["ts_quantiles"]
+            times += marks
+            shares += [(row["end"] - row["start"]) / len(marks)] * len(marks) if marks else []
+        self.topic.forget_one(number)
+        return np.array(times, dtype="int64"), np.array(shares, dtype="float64")
+
     def partitions(self, start: dict, end: dict):
         if self.last is None:  # first call after a restart
             self.last = end

@@ -92,6 +92,34 @@ def test_capped_triggers_end_at_a_common_time(spark, tmp_path):
     assert {r["start"]: r["n"] for r in got} == {s: n for s, n in want.items() if s < last}
 
 
+def test_capped_triggers_look_at_all_commits(spark, tmp_path, monkeypatch):
+    # six commits, later ones with older times; the old bound of a plan would have cut them in two groups
+    from queuelog.sources import datasource
+
+    monkeypatch.setattr(datasource, "MAX_GROUP", 3, raising=False)
+    for n in range(6):
+        put(spark, tmp_path / "log", range(20 * n, 20 * n + 20), at=lambda i, n=n: 600 * (5 - n) + i % 20 * 60)
+    stream = read_log_stream(spark, options(tmp_path / "log"), SCHEMA, max_messages_per_trigger=30, watermark="1 minute")
+    counts = stream.groupBy(F.window("store_timestamp", "5 minutes").alias("w")).agg(F.count("*").alias("n"))
+    run(counts, tmp_path)
+    got = spark.read.schema(counts.schema).parquet(f"{tmp_path}/out").select("w.start", "n").collect()
+    batch = read_log(spark, options(tmp_path / "log"), SCHEMA, metadata=["store_timestamp"])
+    want = {r["start"]: r["n"] for r in batch.groupBy(F.window("store_timestamp", "5 minutes").alias("w")).agg(
+        F.count("*").alias("n")).select("w.start", "n").collect()}
+    assert {r["start"]: r["n"] for r in got} == {s: n for s, n in want.items() if s < max(want)}
+
+
+def test_commits_read_in_full_leave_the_plan(spark, tmp_path):
+    from queuelog.sources import datasource
+
+    for n in range(4):
+        put(spark, tmp_path / "log", range(20 * n, 20 * n + 20))
+    reader = datasource._StreamReader({"path": str(tmp_path / "log"), "topic": "t", "maxMessagesPerTrigger": "25"})
+    ends = [reader.latestOffset() for _ in range(4)]
+    assert [e["group"] for e in ends] == [ends[-1]["seq"]] * 4 and ends[-1]["cut"] is None
+    assert [e["seq"] for e in ends] == sorted({e["seq"] for e in ends}) and not reader.marks.keys() - {ends[-1]["seq"]}
+
+
 def test_latest_is_kept_across_restarts(spark, tmp_path):
     put(spark, tmp_path / "log", range(10))
     o = options(tmp_path / "log", "latest-offset")
