@@ -3,7 +3,20 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from queuelog.llm import boilerplate, covertree, language, mixing, passages, quality, simhash, topk, transducer, warc
+from queuelog.llm import (
+    boilerplate,
+    covertree,
+    exact,
+    language,
+    mixing,
+    passages,
+    quality,
+    simhash,
+    topk,
+    transducer,
+    warc,
+    whitening,
+)
 
 QUERIES = {
     "op1_passages": passages.op1_passages,
@@ -16,6 +29,8 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_sentencepiece": transducer.op9_sentencepiece,
     "op10_embeddings": covertree.op10_embeddings,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_exact": exact.op12_exact,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,4 +41,5 @@ ORACLES = {
     "op5_topk": topk.OP5_SQL,
     "op6_warc": warc.OP6_SQL,
     "op10_embeddings": covertree.OP10_SQL,
+    "op12_exact": exact.OP12_SQL,
 }
