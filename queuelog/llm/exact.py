@@ -27,7 +27,7 @@ def frequent(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
     last merge reads ``MERGES`` summaries, however many tasks there were."""
     part = F.pmod(F.spark_partition_id(), F.lit(MERGES))
     states = rows.groupBy(part.alias("part")).agg(F.expr(f"approx_top_k_accumulate(digest, {counters})").alias("state"))
-    merged = states.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_combine(state, {counters})").alias("state"))
+    merged = states.groupBy(F.col("part") < 0).agg(F.expr(f"approx_top_k_combine(state, {counters})").alias("state"))
     found = F.expr(f"approx_top_k_estimate(state, {counters})")
     return merged.select(F.explode(found).alias("found")).select(F.col("found.item").alias("digest"))
 
