@@ -8,6 +8,7 @@ from queuelog.llm import (
     covertree,
     exact,
     language,
+    lexical,
     mixing,
     passages,
     quality,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_embeddings": covertree.op10_embeddings,
     "op11_whitening": whitening.op11_whitening,
     "op12_exact": exact.op12_exact,
+    "op13_lexical": lexical.op13_lexical,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -42,4 +44,5 @@ ORACLES = {
     "op6_warc": warc.OP6_SQL,
     "op10_embeddings": covertree.OP10_SQL,
     "op12_exact": exact.OP12_SQL,
+    "op13_lexical": lexical.OP13_SQL,
 }
