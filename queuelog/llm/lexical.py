@@ -135,11 +135,11 @@ def _sketches(ends: np.ndarray, terms: np.ndarray, values: np.ndarray, weights:
 def build(ids: np.ndarray, has_id: np.ndarray, ends: np.ndarray, terms: np.ndarray, values: np.ndarray, weights: np.ndarray) -> Shard:
     """The index of documents whose terms are ranks, ascending within each."""
     sketch = _sketches(ends, terms, values, weights)
+    terms, values, slot = terms.astype(np.int32), values.astype(np.int32), np.zeros(len(weights), np.int64)
     owner = np.repeat(np.arange(len(ids)), np.diff(ends))
     order = np.argsort(terms, kind="stable")
     names, starts = np.unique(terms[order], return_index=True)
     cuts = np.append(starts, len(order))
-    position = np.arange(len(terms))
     block_terms, block_sizes, members, summaries = [], [], [], []
     for t, a, b in zip(names.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
         at = order[a:b]
@@ -156,11 +156,15 @@ def build(ids: np.ndarray, has_id: np.ndarray, ends: np.ndarray, terms: np.ndarr
             sizes = np.array([len(docs)])
         # from the term's own place in a document on, terms of its rank and above
         tail = ends[docs + 1] - at
-        entries = _ranges(position[at], ends[docs + 1])
-        block = np.repeat(np.repeat(np.arange(len(sizes)), sizes), tail)
-        seen, place = np.unique(terms[entries], return_inverse=True)
+        entries = _ranges(at, ends[docs + 1])
+        own = terms[entries]
+        each = np.arange(len(own))
+        slot[own] = each
+        seen = np.sort(own[slot[own] == each])  # one place of each term
+        slot[seen] = np.arange(len(seen))
+        block = np.repeat(np.arange(len(sizes)) * len(seen), np.add.reduceat(tail, np.cumsum(sizes) - sizes))
         most = np.zeros(len(sizes) * len(seen), np.int32)
-        np.maximum.at(most, block * len(seen) + place, values[entries])
+        np.maximum.at(most, block + slot[own], values[entries])
         filled = np.flatnonzero(most)
         summaries.append((np.bincount(filled // len(seen), minlength=len(sizes)), seen[filled % len(seen)], most[filled]))
         block_terms.append(np.full(len(sizes), t))
