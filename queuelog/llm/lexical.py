@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from queuelog.llm.common import rows_of, staged, table
 
 #: Documents of a shard, documents of a block about, and entries of a sketch that tells similar documents.
-SHARD, BLOCK, SKETCH = 8192, 64, 32
+SHARD, BLOCK, SKETCH = 2048, 64, 32
 #: Distinct terms that one index knows, and items searched together; more items take further rounds.
 TERMS, PACK = 1 << 18, 4096
 #: One shard in so many is searched first; its kth scores are lower bounds for the others.
