@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from queuelog.llm.common import rows_of, staged, table
 SHARD, BLOCK, SKETCH = 2048, 64, 32
 #: Distinct terms that one index knows, and items searched together; more items take further rounds.
 TERMS, PACK = 1 << 18, 4096
-#: One shard in so many is searched first; its kth scores are lower bounds for the others.
+#: One document in so many is searched first; the kth scores found are lower bounds for the others.
 FIRST = 16
 #: ASCII bytes that are no letter or digit; what they separate is a term.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -100,20 +100,17 @@ class Shard:
     the summary. A summary's product with a query is therefore at least the score of every such document.
     """
 
-    ids: np.ndarray = field(metadata={"kind": np.int64})
-    has_id: np.ndarray = field(metadata={"kind": np.bool_})
-    doc_ends: np.ndarray = field(metadata={"kind": np.int64})
-    terms: np.ndarray = field(metadata={"kind": np.int32})
-    values: np.ndarray = field(metadata={"kind": np.int32})
-    block_terms: np.ndarray = field(metadata={"kind": np.int32})
-    block_ends: np.ndarray = field(metadata={"kind": np.int32})
-    members: np.ndarray = field(metadata={"kind": np.int32})
-    summary_ends: np.ndarray = field(metadata={"kind": np.int64})
-    summary_terms: np.ndarray = field(metadata={"kind": np.int32})
-    summary_values: np.ndarray = field(metadata={"kind": np.int32})
-
-
-SHARD_SCHEMA = "shard bigint, " + ", ".join(f"{f.name} binary" for f in fields(Shard))
+    ids: np.ndarray
+    has_id: np.ndarray
+    doc_ends: np.ndarray
+    terms: np.ndarray
+    values: np.ndarray
+    block_terms: np.ndarray
+    block_ends: np.ndarray
+    members: np.ndarray
+    summary_ends: np.ndarray
+    summary_terms: np.ndarray
+    summary_values: np.ndarray
 
 
 def _sketches(ends: np.ndarray, terms: np.ndarray, values: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -173,13 +170,10 @@ def build(ids: np.ndarray, has_id: np.ndarray, ends: np.ndarray, terms: np.ndarr
     empty = [np.empty(0, np.int64)]
     join = lambda parts: np.concatenate(empty + list(parts))
     upto = lambda sizes: np.concatenate([[0], np.cumsum(sizes)])
-    kinds = {f.name: f.metadata["kind"] for f in fields(Shard)}
-    made = {
-        "ids": ids, "has_id": has_id, "doc_ends": ends, "terms": terms, "values": values, "block_terms": join(block_terms),
-        "block_ends": upto(join(block_sizes)), "members": join(members), "summary_ends": upto(join(s[0] for s in summaries)),
-        "summary_terms": join(s[1] for s in summaries), "summary_values": join(s[2] for s in summaries),
-    }
-    return Shard(**{name: np.asarray(x).astype(kinds[name]) for name, x in made.items()})
+    return Shard(
+        ids, has_id, ends, terms, values, join(block_terms), upto(join(block_sizes)), join(members).astype(np.int32),
+        upto(join(s[0] for s in summaries)), join(s[1] for s in summaries).astype(np.int32), join(s[2] for s in summaries).astype(np.int32),
+    )
 
 
 def search(shard: Shard, terms: np.ndarray, weights: np.ndarray, k: int, least: int, vector: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,64 +212,63 @@ def search(shard: Shard, terms: np.ndarray, weights: np.ndarray, k: int, least:
     return docs, scores
 
 
-def index(rows: DataFrame, rank: np.ndarray, weights: np.ndarray, n_docs: int, length: int) -> DataFrame:
-    """Shards of ``rows`` (``counted``); ``rank`` renumbers the vocabulary, ``weights`` go by rank. Tasks cut
-    their own rows into shards, so nothing is shuffled."""
-
-    def shard(parts: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
-        ids, n, terms, tfs = (pa.chunked_array([p.column(i) for p in parts]).combine_chunks() for i in range(4))
-        has_id = ids.is_valid().to_numpy(zero_copy_only=False)
-        ids, n = ids.fill_null(0).to_numpy(), n.to_numpy()
-        sizes = np.diff(terms.offsets.to_numpy())
-        owner = np.repeat(np.arange(len(ids)), sizes)
-        values = impacts(tfs.flatten().to_numpy(), n[owner], n_docs, length)
-        by_id = np.lexsort((ids, ~has_id))
-        place = np.empty(len(ids), np.int64)
-        place[by_id] = np.arange(len(ids))
-        ranks = rank[terms.flatten().to_numpy()]
-        order = np.lexsort((ranks, place[owner]))
-        ends = np.concatenate([[0], np.cumsum(sizes[by_id])])
-        made = build(ids[by_id], has_id[by_id], ends, ranks[order], values[order], weights)
-        blobs = [pa.array([getattr(made, f.name).tobytes()], pa.binary()) for f in fields(Shard)]
-        return pa.RecordBatch.from_arrays([pa.array([number]), *blobs], ["shard", *(f.name for f in fields(Shard))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held, number = [], 0, 0
-        for batch in batches:
-            while batch.num_rows:
-                part = batch.slice(0, SHARD - held)
-                batch = batch.slice(part.num_rows)
-                parts.append(part)
-                held += part.num_rows
-                if held == SHARD:
-                    yield shard(parts, number)
-                    parts, held, number = [], 0, number + 1
-        if held:
-            yield shard(parts, number)
-
-    return rows.mapInArrow(run, SHARD_SCHEMA)
-
+def _shard(parts: list[pa.RecordBatch], rank: np.ndarray, weights: np.ndarray, n_docs: int, length: int) -> Shard:
+    """The index of some rows of ``counted``; its documents are numbered by id, null last."""
+    ids, n, terms, tfs = (pa.chunked_array([p.column(i) for p in parts]).combine_chunks() for i in range(4))
+    has_id = ids.is_valid().to_numpy(zero_copy_only=False)
+    ids, n = ids.fill_null(0).to_numpy(), n.to_numpy()
+    sizes = np.diff(terms.offsets.to_numpy())
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    values = impacts(tfs.flatten().to_numpy(), n[owner], n_docs, length)
+    by_id = np.lexsort((ids, ~has_id))
+    place = np.empty(len(ids), np.int64)
+    place[by_id] = np.arange(len(ids))
+    ranks = rank[terms.flatten().to_numpy()]
+    order = np.lexsort((ranks, place[owner]))
+    ends = np.concatenate([[0], np.cumsum(sizes[by_id])])
+    return build(ids[by_id], has_id[by_id], ends, ranks[order], values[order], weights)
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """``SHARD`` rows at a time; the last ones may be fewer."""
+    parts, held = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, SHARD - held)
+            batch = batch.slice(part.num_rows)
+            parts.append(part)
+            held += part.num_rows
+            if held == SHARD:
+                yield parts
+                parts, held = [], 0
+    if held:
+        yield parts
+
+
+def _asked(
+    rows: DataFrame, queries: list[tuple[int, np.ndarray, np.ndarray]], rank: np.ndarray, weights: np.ndarray,
+    n_docs: int, length: int, k: int, least: dict[int, int],
+) -> DataFrame:
+    """``q, doc_id, score``: up to ``k`` documents of every shard of ``rows`` (``counted``) for each query.
 
-def _asked(shards: DataFrame, queries: list[tuple[int, np.ndarray, np.ndarray]], size: int, k: int, least: dict[int, int]) -> DataFrame:
-    """``q, doc_id, score``: up to ``k`` documents of every shard for each query."""
+    ``rank`` renumbers the vocabulary, ``weights`` go by rank. A task cuts its own rows into shards, one of
+    which is in memory at a time, so nothing is shuffled and no index goes through the JVM."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vector = np.zeros(size, np.int64)
-        for batch in batches:
-            for at in range(batch.num_rows):
-                blobs = {f.name: batch.column(f.name)[at].as_buffer() for f in fields(Shard)}
-                shard = Shard(**{f.name: np.frombuffer(blobs[f.name], f.metadata["kind"]) for f in fields(Shard)})
-                q, docs, scores = [], [], []
-                for number, terms, weights in queries:
-                    found, score = search(shard, terms, weights, k, least.get(number, 1), vector)
-                    q.append(np.full(len(found), number))
-                    docs.append(found)
-                    scores.append(score)
-                docs = np.concatenate(docs)
-                ids = pa.array(shard.ids[docs], mask=~shard.has_id[docs])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)), ids, pa.array(np.concatenate(scores))], ["q", "doc_id", "score"])
-
-    return shards.mapInArrow(run, "q bigint, doc_id bigint, score bigint")
+        vector = np.zeros(len(weights), np.int64)
+        for parts in _shards(batches):
+            shard = _shard(parts, rank, weights, n_docs, length)
+            q, docs, scores = [], [], []
+            for number, terms, own in queries:
+                found, score = search(shard, terms, own, k, least.get(number, 1), vector)
+                q.append(np.full(len(found), number))
+                docs.append(found)
+                scores.append(score)
+            docs = np.concatenate(docs)
+            ids = pa.array(shard.ids[docs], mask=~shard.has_id[docs])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)), ids, pa.array(np.concatenate(scores))], ["q", "doc_id", "score"])
+
+    return rows.where(F.size("terms") > 0).mapInArrow(run, "q bigint, doc_id bigint, score bigint")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -296,7 +289,7 @@ def _searched(docs: DataFrame, items: DataFrame, k: int, doc_id: str, text: str)
     rank = np.empty(len(words), np.int64)
     rank[order] = np.arange(len(words))
     weights = np.array([weight(size["n"], d) for d in df[order].tolist()], np.int64)
-    shards = staged(index(rows, rank, weights, size["n"], size["length"] or 1), "lexical")
+    index = rank, weights, size["n"], size["length"] or 1, k
     number = {w: int(rank[i]) for i, w in enumerate(words)}
     packs = -(-items.count() // PACK)
     found = None
@@ -306,10 +299,10 @@ def _searched(docs: DataFrame, items: DataFrame, k: int, doc_id: str, text: str)
             own = np.unique([number[t] for t in r["terms"]])
             own = own[weights[own] > 0]
             queries.append((r["q"], own, weights[own]))
-        lot = F.pmod(F.xxhash64("shard", "ids"), F.lit(FIRST))
-        first = staged(_best(_asked(shards.where(lot == 0), queries, len(words), k, {}), k).drop("rank"), "first")
+        lot = F.pmod(F.xxhash64("doc_id", "n", "terms"), F.lit(FIRST))
+        first = staged(_best(_asked(rows.where(lot == 0), queries, *index, {}), k).drop("rank"), "first")
         kth = first.groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("score")).where(F.col("n") == k)
-        rest = _asked(shards.where(lot != 0), queries, len(words), k, {r["q"]: r["score"] for r in kth.collect()})
+        rest = _asked(rows.where(lot != 0), queries, *index, {r["q"]: r["score"] for r in kth.collect()})
         both = first.unionByName(rest)
         found = both if found is None else found.unionByName(both)
     return found
@@ -328,9 +321,10 @@ def ranked(
     Documents are read once: each keeps its length and the terms that any item asks for. Shards of
     ``SHARD`` documents hold a forward index and, per term, blocks of similar documents with
     coordinatewise highest impacts; all products are whole numbers, so a block is left out only when no
-    document in it can reach the kth score. One shard in ``FIRST`` is searched first, and the
-    kth scores found there hold for the others. Items are taken by lots whose terms fit ``TERMS``;
-    only they, their terms' frequencies and one score per item pass the driver.
+    document in it can reach the kth score. One document in ``FIRST`` is searched first, and the
+    kth scores found there hold for the others. Each shard is indexed once for ``PACK`` items. Items are
+    taken by lots whose terms fit ``TERMS``; only they, their terms' frequencies and one score per item
+    pass the driver.
     """
     own = items.select(F.col(item_id).alias("item_id"), distinct_terms(F.col(item_text).cast("string")).alias("terms"))
     own = staged(own.where(F.size("terms") > 0).distinct().withColumn("q", F.monotonically_increasing_id()), "items")
