@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import re
@@ -20,7 +21,7 @@ from queuelog.llm.common import held_out, kept, rows_of, staged, table
 #: Labelled documents that are read per language to fit the models, and rounds of fitting.
 SAMPLE, ROUNDS, SMOOTH = 1000, 4, 0.01
 #: Words a task keeps scores of, words scored at a time, and the length from which a word goes alone.
-CACHE, SLAB, LONG = 250_000, 20_000, 40
+CACHE, SLAB, LONG = 200_000, 20_000, 40
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII signs and digits, which say little about a language, are left out of words.
 DROP = bytes(b for b in range(33, 127) if not chr(b).isalpha())
@@ -38,32 +39,24 @@ class Lattices:
     def __init__(self, path: str):
         vocabulary = pieces.load(path)
         self.ids = {p: i for p, i in vocabulary.ids.items() if p == p.lower() and pieces.SPACE not in p[1:]}
-        self.more, self.bytes_, self.size = pieces.prefixes(self.ids), vocabulary.bytes_, vocabulary.size
+        self.trie, self.bytes_, self.size = pieces.Trie(self.ids), vocabulary.bytes_, vocabulary.size
+        self.alone = np.zeros(self.trie.size + 1, bool)  # characters that are pieces
+        self.alone[[self.trie.letter[ord(p)] for p in self.ids if len(p) == 1]] = True
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
         """Rows (word, from, to, piece) by word and start, and the characters without a piece; those
         have numbers from ``size`` on."""
-        w, s, t, p, rare = [], [], [], [], {}
-        get, more = self.ids.get, self.more
-        for i, word in enumerate(words):
-            n = len(word)
-            for a in range(n):
-                b, part = a + 1, word[a]
-                piece = get(part)
-                if piece is None:
-                    piece = rare.setdefault(part, self.size + len(rare))
-                while True:
-                    if piece is not None:
-                        w.append(i)
-                        s.append(a)
-                        t.append(b)
-                        p.append(piece)
-                    if part not in more or b >= n:
-                        break
-                    b += 1
-                    part = word[a:b]
-                    piece = get(part)
-        return np.array([w, s, t, p], np.int64), list(rare)
+        codes, sizes = pieces.codes_of("".join(words)), np.fromiter(map(len, words), np.int64, len(words))
+        word, ends = np.repeat(np.arange(len(words)), sizes), np.cumsum(sizes)
+        letters = self.trie.letter[codes]
+        start, end, piece = self.trie.arcs(letters, ends[word])
+        raw = np.flatnonzero(~self.alone[letters])
+        rare, number = np.unique(codes[raw], return_inverse=True)
+        start, end, piece = np.concatenate([start, raw]), np.concatenate([end, raw + 1]), np.concatenate([piece, self.size + number])
+        order = np.argsort(start, kind="stable")
+        start, own = start[order], word[start[order]]
+        first = (ends - sizes)[own]
+        return np.array([own, start - first, end[order] - first, piece[order]], np.int64), [chr(c) for c in rare.tolist()]
 
     def table(self, logp: np.ndarray, rare: list[str]) -> np.ndarray:
         """Log-probabilities with rows for the characters without a piece."""
@@ -114,25 +107,32 @@ def score_long(lattices: Lattices, word: str, logp: np.ndarray) -> np.ndarray:
     """Log-probability of a long word: the same sums with a running scale, in bounded memory."""
     widest = max(map(len, lattices.ids))
     total, ring = np.zeros(logp.shape[1]), {0: np.ones(logp.shape[1])}
-    for a in range(len(word)):
-        here = ring.pop(a)
-        top = here.max()
-        total, here = total + math.log(top), here / top
-        ring = {k: v / top for k, v in ring.items()}
-        edges, rare = lattices.edges([word[a : a + widest]])
-        own = edges[:, edges[1] == 0]
-        probs = np.exp(lattices.table(logp, rare)[own[3]]) if rare else np.exp(logp[own[3]])
-        for b, p in zip(own[2], probs):
-            ring[a + b] = ring.get(a + b, 0) + here * p
+    for begin in range(0, len(word), SLAB):
+        edges, rare = lattices.edges([word[begin : begin + SLAB + widest]])
+        probs, ends = np.exp(lattices.table(logp, rare)[edges[3]]), (begin + edges[2]).tolist()
+        cuts = np.searchsorted(edges[1], np.arange(SLAB + 1)).tolist()
+        for at in range(begin, min(begin + SLAB, len(word))):
+            here = ring.pop(at)
+            top = here.max()
+            total, here = total + math.log(top), here / top
+            ring = {k: v / top for k, v in ring.items()}
+            for k in range(cuts[at - begin], cuts[at - begin + 1]):
+                ring[ends[k]] = ring.get(ends[k], 0) + here * probs[k]
     with np.errstate(divide="ignore"):
         return total + np.log(ring[len(word)])
 
 
+@functools.lru_cache(1)
+def lattices_of(path: str) -> Lattices:
+    """One per process."""
+    return Lattices(path)
+
+
 class Scorer:
     """Log-probabilities of words under every language; those of recent words are kept."""
 
     def __init__(self, path: str, logp: np.ndarray):
-        self.lattices, self.logp = Lattices(path), logp
+        self.lattices, self.logp = lattices_of(path), logp
         self.reset()
 
     def reset(self) -> None:
@@ -175,12 +175,12 @@ class Scorer:
 
 
 def expected(lattices: Lattices, words: list[str], counts: np.ndarray, lang: np.ndarray, logp: np.ndarray) -> np.ndarray:
-    """Expected uses of every piece per language over all segmentations of the words."""
+    """Expected uses of every piece per language over all segmentations of ``words``, marks included."""
     out = np.zeros(logp.shape)
     order = np.argsort(np.array(list(map(len, words))), kind="stable")
     for at in range(0, len(order), SLAB):
         part = order[at : at + SLAB]
-        full = [pieces.SPACE + words[i] for i in part]
+        full = [words[i] for i in part]
         g, c, lengths = lang[part], counts[part], np.array(list(map(len, full)))
         edges, rare = lattices.edges(full)
         prob = np.exp(lattices.table(logp, rare)[edges[3], g[edges[0]]])
@@ -204,24 +204,30 @@ def fit(labelled: DataFrame, *, path: str = pieces.MODEL, sample: int = SAMPLE,
 
     Expectation-maximisation over all segmentations, from equal probabilities. It reads, per language,
     the ``sample`` documents with the lowest hash of the id (a documented bound; every text whole).
-    Counting and expectation run as Spark jobs; the driver gets the model, whose size is the
+    Words of ``LONG`` characters or more, as scripts without spaces have them, are counted in pieces of
+    fewer. Counting and expectation run as Spark jobs; the driver gets the model, whose size is the
     vocabulary times the number of languages.
     """
     spark = labelled.sparkSession
     rows = labelled.where("lang is not null and text is not null")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.select("doc_id", "lang").withColumn("n", rank).where(F.col("n") <= sample).select("doc_id", "lang")
-    chosen = staged(chosen.distinct(), "chosen")
-    langs = sorted(r[0] for r in chosen.select("lang").distinct().collect())
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    langs = sorted(sizes)
     if not langs:
         return [], np.zeros((0, 0))
+    # twice the sample and more by hash, whatever a language's size, so that few rows are ranked
+    share = F.create_map(*[F.lit(x) for g, n in sizes.items() for x in (g, int(min(1.0, (2 * sample + 100) / n) * (1 << 30)))])
+    some = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).where(F.shiftrightunsigned("hash", 34) <= share[F.col("lang")])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 34), "hash", "doc_id"))
+    chosen = some.distinct().withColumn("n", rank).where(F.col("n") <= sample).select("doc_id", "lang")
+    chosen = staged(chosen, "chosen")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Counter()
         for text, lang in rows_of(batches):
             for word, n in Counter(words_of(text)).items():
-                if len(word) < LONG:
-                    found[lang, word] += n
+                full = pieces.SPACE + word
+                for at in range(0, len(full), LONG):
+                    found[lang, full[at : at + LONG]] += n
             if len(found) > CACHE:
                 yield from _counts(found)
                 found = Counter()
@@ -236,7 +242,7 @@ def fit(labelled: DataFrame, *, path: str = pieces.MODEL, sample: int = SAMPLE,
         model = spark.sparkContext.broadcast(logp)
 
         def expect(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
-            lattices, total = Lattices(path), None
+            lattices, total = lattices_of(path), None
             for batch in batches:
                 lang = np.array([number[g] for g in batch.column(0).to_pylist()])
                 part = expected(lattices, batch.column(1).to_pylist(), batch.column(2).to_numpy(), lang, model.value)
@@ -278,6 +284,12 @@ def identify(
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, at = kept(name, lambda: Scorer(*model.value)), rest.index(text)
+        try:
+            yield from _predicted(batches, scorer, at)
+        finally:
+            scorer.reset()  # workers live on, and the next stage needs their memory
+
+    def _predicted(batches: Iterator[pa.RecordBatch], scorer: Scorer, at: int) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

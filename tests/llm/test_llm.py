@@ -13,7 +13,7 @@ import xxhash
 import __spark_entry__ as entry
 import check
 import corpus_pipeline
-from queuelog.llm import boilerplate, common, covertree, language, mixing, passages, pieces, quality, queries, shingles, simhash, topk, transducer, warc, widehash
+from queuelog.llm import boilerplate, common, covertree, language, mixing, passages, pieces, quality, queries, shingles, simhash, topk, transducer, warc
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, block bigint, fp string, _draw int"
@@ -132,98 +132,6 @@ def test_pigeonring_finds_every_link(spark):
     assert got == root
 
 
-def brute_wide(text, shingle=5):
-    """256 bits by the definition: word 0 is the hash, the others are mixed from it."""
-    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    w, full = re.findall(common.WORD, low), 2**64 - 1
-    if not w:
-        return 0
-    hs = [xxhash.xxh64_intdigest(" ".join(w[i : i + shingle]).encode(), 42) for i in range(max(1, len(w) - shingle + 1))]
-    fp = 0
-    for word in range(widehash.WORDS):
-        votes = [0] * 64
-        for x in hs:
-            if word:
-                x ^= word * 0x9E3779B97F4A7C15 & full
-                x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & full
-                x = (x ^ x >> 33) * 0xC4CEB9FE1A85EC53 & full
-                x ^= x >> 33
-            for b in range(64):
-                votes[b] += x >> b & 1
-        fp |= sum(1 << b for b in range(64) if 2 * votes[b] > len(hs)) << 64 * word
-    return fp
-
-
-def brute_similar(a, b):
-    x, y = a.to_bytes(32, "little"), b.to_bytes(32, "little")
-    same = [p == q for p, q in zip(x, y)]
-    for i in range(32):
-        chain = sum((x[(i + k) % 32] ^ y[(i + k) % 32]).bit_count() for k in range(3))
-        if same[i] and (same[(i + 1) % 32] or same[(i + 2) % 32]) and chain <= 4:
-            return (a ^ b).bit_count() <= 52
-    return False
-
-
-def test_wide_simhash(odd, none):
-    docs = odd.where("length(text) < 10000 or text is null")
-    rows = [(r.doc_id, brute_wide(r.text)) for r in docs.collect()]
-    root = linked({f for _, f in rows}, brute_similar)
-    least = {}
-    for d, f in rows:
-        if d is not None:
-            least[root[f]] = min(least.get(root[f], math.inf), d)
-    got = widehash.similar_documents(docs).collect()
-    assert {(r.doc_id, r.component_id) for r in got} == {(d, least[root[f]]) for d, f in rows}
-    assert len(got) == len(rows)
-    assert widehash.similar_documents(none).count() == 0
-    assert widehash.similar_documents(odd).count() == odd.count()
-
-
-@pytest.mark.parametrize("small", [2, 8, 256])
-def test_wide_groups(monkeypatch, small):
-    """Pair by pair or walked: the same components, few near and many far rows under each key."""
-    monkeypatch.setattr(widehash, "SMALL", small)
-    r = np.random.default_rng(5)
-    base = r.integers(0, 2**63, (4, widehash.WORDS), dtype=np.uint64)
-    fps = np.repeat(base, 30, axis=0)
-    for row in fps:
-        for bit in r.choice(256, r.integers(0, 45), replace=False):
-            row[bit // 64] ^= np.uint64(1 << int(bit % 64))
-    key = np.sort(r.integers(0, 5, len(fps))) * (1 << 16) + 3 * 64
-    u, v = widehash._forest(key, fps, 52)
-    ints = [int.from_bytes(f.tobytes(), "little") for f in fps]
-    octets = fps.view(np.uint8).reshape(-1, 32)
-
-    def near(a, b):
-        chain = sum(int(octets[a, 3 + k] ^ octets[b, 3 + k]).bit_count() for k in range(3))
-        return key[a] == key[b] and chain <= 4 and (ints[a] ^ ints[b]).bit_count() <= 52
-
-    nodes = list(range(len(fps)))
-    assert linked(nodes, lambda a, b, s=set(zip(v.tolist(), u.tolist())): (a, b) in s) == linked(nodes, near)
-    assert len(u) > 20
-
-
-def test_similar_texts_are_found(spark):
-    """Copies with four fifths of their shingles in common join; unrelated texts stay apart."""
-    r = random.Random(11)
-    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))
-    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-    rows, near = [], 0
-    for i in range(150):
-        words = [word() for _ in range(r.randint(60, 300))]
-        copy = list(words)
-        while True:
-            at, before = r.randrange(len(copy)), list(copy)
-            copy[at] = word()
-            a, b = grams(words), grams(copy)
-            if len(a & b) < 0.8 * len(a | b):
-                break
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(before))]
-    got = dict(map(tuple, widehash.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()))
-    assert all(got[2 * i] == 2 * i for i in range(150))
-    assert sum(got[2 * i + 1] == 2 * i for i in range(150)) >= 145
-
-
 def brute_grams(text, shingle=5):
     w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
     return {tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set()
@@ -454,8 +362,8 @@ def test_pipeline(spark):
     assert {r.doc_id for r in known.collect()} == {r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")}
     lines = common.staged(stages["lines"](spark, known, SF), "lines")
     one = common.staged(stages["near_duplicates"](spark, lines, SF), "one")
-    fp = {r.doc_id: brute_wide(r.text) for r in lines.collect()}
-    root = linked(sorted(fp), lambda a, b: brute_similar(fp[a], fp[b]))
+    grams = {r.doc_id: brute_grams(r.text) for r in lines.collect()}
+    root = linked(sorted(grams), lambda a, b: brute_jaccard(grams[a], grams[b]))
     assert {r.doc_id for r in one.collect()} == set(root.values()) and one.columns == docs.columns
     mix = stages["mix"](spark, one, SF)
     assert mix.columns == docs.columns
