@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of plans that nobody holds go when the driver's JVM collects garbage, which a small
+    driver seldom does by itself; executors' disks fill meanwhile. Call it where a large shuffle is behind."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold of the contracts: crc32 of the id as text, remainder 0 by 5."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
