@@ -1,9 +1,12 @@
 """``spark.read / readStream.format("queuelog")``: a topic as a Python data source.
 
 A stream position is ``{"seq", "group", "cut", "known"}``: commits up to ``seq`` are read in
-full, and of the commits in ``(seq, group]`` the messages stored up to ``cut`` (microseconds).
-A capped trigger therefore ends at one store time for all queues and all commits there are, so a
-watermark moves no faster than the slowest queue. Each task reads one message file.
+full, and of the commits in ``(seq, group]`` the messages up to ``cut``, in the order of store time,
+then commit, then offset. A cut is ``[time, commit, j, k]``: all that was stored before the time
+(microseconds), of that time what earlier commits hold, and of that commit the first j of k equal
+parts of each queue's offsets. A trigger therefore ends at one store time for all queues and all
+commits there are, even inside one, so a watermark moves no faster than the slowest queue. Messages
+without time come before all others. Each task reads one message file.
 
 Classes here run in plain Python processes and take everything from their options.
 """
@@ -37,8 +40,28 @@ def starts_json(rows: list) -> str:
     return json.dumps([[r["broker_name"], r["queue_id"], r["offset"]] for r in rows])
 
 
+#: The time of messages without one, and a commit after all others.
+NO_TIME, LAST = -(2**63), 2**63 - 1
+
+
+def _as_cut(cut) -> tuple | None:
+    """A stored cut; before commits were part of it, it was a time."""
+    if cut is None or isinstance(cut, list):
+        return None if cut is None else tuple(cut)
+    return cut, LAST, 1, 1
+
+
+def side_of(cut: tuple, number: int, rows: list) -> tuple:
+    """A cut as it meets a commit: its time, and which messages of that time lie before it: all, none, or
+    those of each queue below an offset, as (broker, queue, offset)."""
+    time, commit, j, k = cut
+    if number != commit or j == k:
+        return time, number <= commit
+    return time, [(r["broker_name"], r["queue_id"], r["start"] + -(-j * (r["end"] - r["start"]) // k)) for r in rows if r["end"] > r["start"]]
+
+
 class FilePart(InputPartition):
-    """Messages of one file, stored after ``after`` and up to ``until``.
+    """Messages of one file after ``after`` and up to ``until``, both as ``side_of`` gives them.
 
     ``skip`` lists (broker, queue, offset) below which messages are left out, ``drop`` whole
     queues; both only for queues of this file's commit.
@@ -120,17 +143,32 @@ class _Topic:
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
 
+        def equal(name, value):
+            return ds.field(name).is_null() if value is None else ds.field(name).is_valid() & (ds.field(name) == value)
+
         def queue(broker, number):
-            return (ds.field("broker_name") == broker) & (ds.field("queue_id") == number)
+            return equal("broker_name", broker) & equal("queue_id", number)
+
+        def before(cut):
+            """What lies before a cut; a message without time lies before every time."""
+            moment, same = cut
+            if moment == NO_TIME:
+                first, at = pc.scalar(False), time.is_null()
+            else:
+                value = pa.scalar(moment, pa.timestamp("us", "UTC"))
+                first, at = time.is_null() | (time < value), time.is_valid() & (time == value)
+            if isinstance(same, bool):
+                return first | at if same else first
+            for broker, number, offset in same:
+                first = first | (at & queue(broker, number) & (ds.field("queue_offset") < offset))
+            return first
 
         wanted = pc.scalar(True)
         time = ds.field("store_timestamp")
         if part.after is not None:
-            wanted &= time > pa.scalar(part.after, pa.timestamp("us", "UTC"))
+            wanted &= ~before(part.after)
         if part.until is not None:
-            upto = time <= pa.scalar(part.until, pa.timestamp("us", "UTC"))
-            # a message without time goes with the first part of its batch
-            wanted &= (upto | time.is_null()) if part.after is None else upto
+            wanted &= before(part.until)
         for broker, number, offset in part.skip:
             wanted &= ~(queue(broker, number) & (ds.field("queue_offset") < offset))
         for broker, number in part.drop:
@@ -186,7 +224,7 @@ class _StreamReader(DataSourceStreamReader):
         return self.last
 
     def _capped(self, here: dict) -> dict:
-        """End at a store time common to all queues, with about ``cap`` messages up to it."""
+        """End where ``cap`` messages are reached, by prefix sums over what commits say of their store times."""
         import numpy as np
 
         commits = self.topic.commits(here["seq"])
@@ -195,36 +233,55 @@ class _StreamReader(DataSourceStreamReader):
             if number not in self.marks:
                 self.marks[number] = self._slices(number, name)
         self.marks = {n: self.marks[n] for n in commits}
-        if here["cut"] is not None:
+        begun, part = _as_cut(here["cut"]), 1.0
+        if begun is not None:
             for number in commits:
                 if number <= here["group"]:
                     time, share = self.marks[number]
-                    self.marks[number] = time[time > here["cut"]], share[time > here["cut"]]
-        time, share = (np.concatenate([np.empty(0, kind), *(m[i] for m in self.marks.values())]) for i, kind in enumerate(("int64", "float64")))
-        by_time = np.argsort(time, kind="stable")
-        time, upto = time[by_time], np.cumsum(share[by_time])
-        # the first time with enough messages up to it that is not the last one
-        at = int(np.searchsorted(upto, self.cap)) if self.cap is not None else len(time)
-        if at < len(time) and time[at] < time[-1]:
-            cut, seq = int(time[at]), here["seq"]
-            for number in commits:  # the first ones may be read in full by then
-                if (self.marks[number][0] > cut).any():
-                    break
-                seq = number
-            return {**here, "seq": seq, "group": group, "cut": cut}
-        return {**here, "seq": group, "group": group, "cut": None}
+                    left = time > begun[0] if number < begun[1] or number == begun[1] and begun[2] == begun[3] else time >= begun[0]
+                    self.marks[number] = time[left], share[left]
+            part = 1 - begun[2] / begun[3]
+        empty = np.empty(0, "int64")
+        time = np.concatenate([empty, *(t for t, _ in self.marks.values())])
+        number = np.concatenate([empty, *(np.full(len(t), n) for n, (t, _) in self.marks.items())])
+        share = np.concatenate([np.empty(0), *(s for _, s in self.marks.values())])
+        order = np.lexsort((number, time))
+        time, number, share = time[order], number[order], share[order]
+        inside = begun is not None and begun[2] < begun[3] and len(time) > 0 and (time[0], number[0]) == begun[:2]
+        upto = np.cumsum(np.append(share[:1] * (part if inside else 1), share[1:]))
+        if self.cap is None or not len(time) or upto[-1] <= self.cap:
+            return {**here, "seq": group, "group": group, "cut": None}
+        fits = int(np.searchsorted(upto, self.cap + 1e-6, "right"))
+        if fits:
+            cut = [int(time[fits - 1]), int(number[fits - 1]), 1, 1]
+        elif inside:
+            cut = [*begun[:2], begun[2] + 1, begun[3]]
+        else:  # more messages of one time and commit than the cap
+            cut = [int(time[0]), int(number[0]), 1, int(-(-share[0] // self.cap))]
+        if cut[2] == cut[3]:
+            cut[2:] = 1, 1
+        seq = here["seq"]
+        for n in commits:  # the first ones may be read in full by then
+            times = self.marks[n][0]
+            if len(times) and (int(times[-1]), n) > (cut[0], cut[1]) or n == cut[1] and cut[2] < cut[3]:
+                break
+            seq = n
+        return {**here, "seq": seq, "group": group, "cut": cut}
 
     def _slices(self, number: int, name: str) -> tuple:
-        """Store times and messages up to each, of every queue of a commit, from its stored quantiles."""
+        """Store times of a commit, ascending, and messages up to each since the one before, by its stored
+        quantiles; a queue without any time has all its messages at the first."""
         import numpy as np
 
         times, shares = [], []
         for row in self.topic.range_rows(number, name):
-            marks = row["ts_quantiles"]
-            times += marks
-            shares += [(row["end"] - row["start"]) / len(marks)] * len(marks) if marks else []
+            marks = row["ts_quantiles"] or [NO_TIME]
+            if row["end"] > row["start"]:
+                times += marks
+                shares += [(row["end"] - row["start"]) / len(marks)] * len(marks)
         self.topic.forget_one(number)
-        return np.array(times, dtype="int64"), np.array(shares, dtype="float64")
+        time, at = np.unique(np.array(times, dtype="int64"), return_inverse=True)
+        return time, np.bincount(at, np.array(shares, dtype="float64"), len(time)) if len(time) else np.empty(0)
 
     def partitions(self, start: dict, end: dict):
         if self.last is None:  # first call after a restart
@@ -260,8 +317,10 @@ class _StreamReader(DataSourceStreamReader):
                 # starts that are behind us need no look at later commits
                 reached = {(r["broker_name"], r["queue_id"]): r["end"] for r in rows}
                 starts = {q: o for q, o in starts.items() if reached.get(q, 0) < o}
-            after = start["cut"] if number <= start["group"] else None
-            until = end["cut"] if number > end["seq"] else None
+            rows = self.topic.range_rows(number, name) if start["cut"] or end["cut"] else []
+            after, until = _as_cut(start["cut"]), _as_cut(end["cut"])
+            after = side_of(after, number, rows) if after and number <= start["group"] else None
+            until = side_of(until, number, rows) if until and number > end["seq"] else None
             parts += [FilePart(path, after, until, skip, drop) for path in paths]
         return parts
 

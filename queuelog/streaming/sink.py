@@ -116,8 +116,9 @@ def _state_after(written: DataFrame, before: DataFrame | None) -> DataFrame:
         F.max("store_timestamp").alias("max_ts"),
         F.percentile_approx(F.unix_micros("store_timestamp"), [i / 20 for i in range(1, 21)], 1000).alias("ts_quantiles"),
     )
+    times = F.coalesce("ts_quantiles", F.array().cast("array<bigint>"))  # a queue may hold no time at all
     if before is None:
-        state = own.withColumns({"earliest": F.col("start"), "seen_ts": F.col("max_ts")})
+        state = own.withColumns({"earliest": F.col("start"), "seen_ts": F.col("max_ts"), "ts_quantiles": times})
     else:
         past = before.select(
             "broker_name", "queue_id", "earliest", F.col("end").alias("past_end"), F.col("seen_ts").alias("past_ts")
@@ -128,7 +129,7 @@ def _state_after(written: DataFrame, before: DataFrame | None) -> DataFrame:
                 "start": F.coalesce("start", "past_end"),
                 "end": F.coalesce("end", "past_end"),
                 "seen_ts": F.greatest("max_ts", "past_ts"),
-                "ts_quantiles": F.coalesce("ts_quantiles", F.array().cast("array<bigint>")),
+                "ts_quantiles": times,
             }
         )
     return state.select(RANGES_SCHEMA.names)

@@ -77,6 +77,49 @@ def test_stop_in_the_middle_of_a_group(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(100))
 
 
+def test_one_store_time_is_split(spark, tmp_path):
+    """200 messages of one time, in two commits; each queue's messages come in order, none late."""
+    put(spark, tmp_path / "log", range(160), at=lambda i: 5)
+    put(spark, tmp_path / "log", range(160, 200), at=lambda i: 5)
+    stream = read_log_stream(
+        spark, options(tmp_path / "log"), SCHEMA, max_messages_per_trigger=40, watermark="1 second",
+        metadata=["store_timestamp", "queue_id", "queue_offset"],
+    )
+    counts = stream.groupBy("id", "queue_id", "queue_offset", "store_timestamp").count()  # would drop what is late
+    sizes = run(stream, tmp_path / "a")
+    assert sizes == [40] * 5
+    assert ids(spark, tmp_path / "a", stream) == list(range(200))
+    rows = spark.read.parquet(f"{tmp_path}/a/out").collect()
+    for queue in (0, 1):
+        met = [r["queue_offset"] for r in sorted(rows, key=lambda r: (r["batch"], r["queue_offset"])) if r["queue_id"] == queue]
+        assert met == sorted(met)
+    put(spark, tmp_path / "log", [1000], at=lambda i: 100)
+    put(spark, tmp_path / "log", [1001], at=lambda i: 200)
+    run(counts, tmp_path / "b")
+    assert set(range(200)) <= {r["id"] for r in spark.read.schema(counts.schema).parquet(f"{tmp_path}/b/out").collect()}
+
+
+@pytest.mark.parametrize("cap", [4, 7, 1000])
+def test_capped_stream_of_messages_without_time(spark, tmp_path, cap):
+    """The first commit of a topic: one queue without any time, one with some."""
+    rows = [(i, i % 2, T0 + datetime.timedelta(seconds=i) if i % 2 and i % 3 else None) for i in range(20)]
+    df = spark.createDataFrame(rows, "id bigint, queue_id int, ts timestamp")
+    for part in (df, df.withColumn("id", F.col("id") + 20)):
+        write_log(part, fx.options(str(tmp_path / "log"), "t"), exclude=("queue_id", "ts"), order=["id"], store_timestamp=F.col("ts"))
+    stream = read_log_stream(spark, options(tmp_path / "log"), SCHEMA, max_messages_per_trigger=cap)
+    sizes = run(stream, tmp_path)
+    assert ids(spark, tmp_path, stream) == list(range(40)) and sum(sizes) == 40
+    assert cap == 1000 or len(sizes) >= 4
+
+
+def test_cuts_stored_by_earlier_versions(spark, tmp_path):
+    from queuelog.sources import datasource
+
+    assert datasource._as_cut(5) == (5, datasource.LAST, 1, 1) and datasource._as_cut(None) is None
+    assert datasource.side_of((5, 3, 1, 2), 3, [{"broker_name": "b", "queue_id": 0, "start": 10, "end": 15}]) == (5, [("b", 0, 13)])
+    assert datasource.side_of((5, 3, 1, 2), 2, []) == (5, True) and datasource.side_of((5, 3, 1, 1), 4, []) == (5, False)
+
+
 def test_capped_triggers_end_at_a_common_time(spark, tmp_path):
     # queue 1 is written two hours behind queue 0
     put(spark, tmp_path / "log", range(200), at=lambda i: 60 * i - (7200 if i % 2 else 0))
