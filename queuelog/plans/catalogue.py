@@ -239,6 +239,26 @@ def log_stream(spark, sf):
     return _run(spark, stream)
 
 
+@query("log_stream_capped", "SELECT event_id, user_id, value FROM events")
+def log_stream_capped(spark, sf):
+    """Two commits, store times cut to the day and some missing: far more messages of a time than a trigger takes."""
+    def build(path: str) -> None:
+        events = fx.placed_events(spark, sf)
+        day = F.when(F.col("event_id") % 7 != 0, F.date_trunc("day", F.col("ts").cast("timestamp")))
+        for rest in (0, 1):
+            sink.write_log(
+                events.where(F.col("event_id") % 3 == 0 if rest == 0 else F.col("event_id") % 3 != 0), fx.options(path),
+                exclude=("broker_name", "queue_id"), broker=F.col("broker_name"), store_timestamp=day, order=["event_id"], stage=False,
+            )
+
+    path = fx.once(spark, "events-days", sf, build)
+    stream = scan.read_log_stream(
+        spark, fx.options(path), fx.EVENT_SCHEMA, columns=["event_id", "user_id", "value"], metadata=[],
+        max_messages_per_trigger=max(200, fx.table(spark, sf, "events").count() // 6),
+    )
+    return _run(spark, stream, close_windows=True)
+
+
 @query("log_stream_files", LOG + "SELECT event_id, user_id, broker_name, queue_id, queue_offset FROM log WHERE tags = 'click'")
 def log_stream_files(spark, sf):
     stream = scan.read_log_stream(

@@ -13,6 +13,8 @@ from queuelog.sources import storage
 MAX_DRIVER_QUEUES = 10_000
 #: Up to this many queues become literal ranges that reach the parquet scan.
 MAX_LITERAL_QUEUES = 64
+#: Up to this many batches are named one by one when a time is looked up; else all from the first on are read.
+MAX_BATCHES = 1000
 
 #: In a shuffled join a queue is cut into runs of this many messages, dealt to this many tasks.
 RUN_LENGTH, RUNS = 65_536, 32
@@ -90,6 +92,24 @@ def timestamp_offsets(
     )
 
 
+def messages_around(spark: SparkSession, path: str, topic: str, millis: int) -> DataFrame:
+    """Messages among which each queue's first one at or after the time is: of one batch a queue.
+
+    What commits say of the latest store time so far is an index: the batch with which a queue gets to
+    the time holds that message. Only states are read to find it, from a batch found by binary search on."""
+    at = F.timestamp_millis(F.lit(millis))
+    first = storage.first_batch(spark, path, topic, F.col("seen_ts") >= at)
+    if first is None:  # a plain folder has no commits
+        return storage.messages(spark, path, topic)
+    reached = storage.states(spark, path, topic, first).where((F.col("seen_ts") >= at) & (F.col("end") > F.col("start")))
+    reached = reached.groupBy(QUEUE_KEY).agg(F.min("batch").alias("batch"))
+    names = [r["batch"] for r in reached.select("batch").distinct().limit(MAX_BATCHES + 1).collect()]
+    if len(names) > MAX_BATCHES:
+        return storage.messages(spark, path, topic, first)
+    rows = storage.messages(spark, path, topic, first, names)
+    return same_key_join(rows, reached, [*QUEUE_KEY, "batch"], "left_semi").drop("batch")
+
+
 def resume_offsets(read: DataFrame) -> DataFrame:
     """Where to go on after these messages: one past the last of each queue."""
     return read.groupBy(QUEUE_KEY).agg((F.max("queue_offset") + 1).alias("offset"))
@@ -242,7 +262,5 @@ def starting_offsets(
     if mode == "specific-offsets":
         return specific_offsets(bounds, specific or {})
     if mode == "timestamp":
-        at = F.timestamp_millis(F.lit(timestamp_millis))
-        log = storage.messages(spark, path, topic, storage.first_batch(spark, path, topic, F.col("seen_ts") >= at))
-        return timestamp_offsets(log, bounds, timestamp_millis, on_timestamp_miss)
+        return timestamp_offsets(messages_around(spark, path, topic, timestamp_millis), bounds, timestamp_millis, on_timestamp_miss)
     raise ValueError(f"unknown startup mode '{mode}'")

@@ -8,13 +8,15 @@
 The commit file is the last thing a writer makes, and one listing shows all of them. Spark
 skips names with a leading underscore when it lists data files. A plain parquet folder with
 the message columns under ``topic=<t>`` also works as a log; then offset bounds come from a
-scan of the key columns. One writer at a time per topic.
+scan of the key columns. Several writers may write at a time: a commit claims the state it goes on
+from, ``<log>/_commits/topic=<t>/.after-<batch>``, and the one that comes second starts over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,23 @@ class Folder:
     def touch(self, name: str) -> None:
         self._fs.create(self._jvm.org.apache.hadoop.fs.Path(self._root, name), True).close()
 
+    def claim(self, name: str, owner: str) -> str:
+        """Make a file that only one can make; who made it, by the text inside."""
+        path = self._jvm.org.apache.hadoop.fs.Path(self._root, name)
+        try:
+            out = self._fs.create(path, False)
+        except Py4JJavaError:
+            if not self._fs.exists(path):
+                raise
+            found = self._fs.open(path)
+            try:
+                return self._jvm.org.apache.commons.io.IOUtils.toString(found, "UTF-8")
+            finally:
+                found.close()
+        out.write(bytearray(owner.encode()))
+        out.close()
+        return owner
+
     def delete(self) -> None:
         self._fs.delete(self._root, True)
 
@@ -74,12 +93,31 @@ def started_batches(spark: SparkSession, log: str, topic: str) -> list[str]:
     return sorted(n.removeprefix("batch=") for n in names if n.startswith("batch="))
 
 
-def mark_committed(spark: SparkSession, log: str, topic: str, batch: str) -> None:
-    Folder(spark, commits_path(log, topic)).touch(batch)
+def mark_committed(spark: SparkSession, log: str, topic: str, batch: str, after: str | None) -> bool:
+    """Make a batch count that goes on from the state of ``after``; False if another one does.
+
+    Whoever claims a state has written all it needs by then, so a commit that was cut off right after
+    its claim is finished here for it."""
+    folder = Folder(spark, commits_path(log, topic))
+    owner = folder.claim(f".after-{after or 'nothing'}", batch)
+    folder.touch(owner)
+    return owner == batch
+
+
+def states(spark: SparkSession, log: str, topic: str, first: str) -> DataFrame:
+    """States of all queues after every committed batch from ``first`` on, with the column ``batch``."""
+    unfinished = sorted(set(started_batches(spark, log, topic)) - set(committed_batches(spark, log, topic)))
+    schema = T.StructType([*RANGES_SCHEMA.fields, T.StructField("batch", T.StringType())])
+    rows = spark.read.schema(schema).parquet(ranges_path(log, topic)).where(F.col("batch") >= first)
+    if unfinished:
+        rows = rows.where(~F.col("batch").isin(unfinished))
+    return rows.withColumn("topic", F.lit(topic))
+
 
+def messages(spark: SparkSession, log: str, topic: str, first: str | None = None, only: list[str] | None = None) -> DataFrame:
+    """Committed messages of a topic with the columns of ``LOG_SCHEMA``, from batch ``first`` on.
 
-def messages(spark: SparkSession, log: str, topic: str, first: str | None = None) -> DataFrame:
-    """Committed messages of a topic with the columns of ``LOG_SCHEMA``, from batch ``first`` on."""
+    ``only`` opens no other batches, and keeps their names in the column ``batch``."""
     # commits are listed before the files and folders after them, so a batch that is being
     # written meanwhile is known to be unfinished
     committed = committed_batches(spark, log, topic)
@@ -92,7 +130,9 @@ def messages(spark: SparkSession, log: str, topic: str, first: str | None = None
         rows = rows.where(~F.col("batch").isin(unfinished))
     if first is not None:
         rows = rows.where(F.col("batch") >= first)
-    return rows.withColumn("topic", F.lit(topic)).select(LOG_SCHEMA.names)
+    if only is not None:
+        rows = rows.where(F.col("batch").isin(only))
+    return rows.withColumn("topic", F.lit(topic)).select(*LOG_SCHEMA.names, *(["batch"] if only is not None else []))
 
 
 def ranges(spark: SparkSession, log: str, topic: str, batch: str | None = None) -> DataFrame | None:

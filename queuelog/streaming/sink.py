@@ -196,29 +196,37 @@ def commit(
     parallelism: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> str | None:
-    """Write messages as one batch. Readers see all of it or nothing; a committed ``txn`` is kept."""
+    """Write messages as one batch. Readers see all of it or nothing; a committed ``txn`` is kept.
+
+    A writer that another one overtakes numbers its messages anew and tries again."""
     spark = messages.sparkSession
-    name, done = _batch_name(spark, path, topic, _folder_name(txn))
-    total = 0 if done else messages.count()
-    if not total:
-        return None
-    before = storage.ranges(spark, path, topic)
-    ends = None if before is None else before.withColumn("offset", F.col("end"))
-    rows = assign_offsets(messages, order, ends, rows_per_bucket=rows_per_bucket, total=total)
-    rows = rows.select(LOG_SCHEMA.names).drop("topic")
-    if parallelism:
-        rows = rows.repartitionByRange(parallelism, "broker_name", "queue_id", "queue_offset")
-    # sorted files let row groups be skipped by queue and offset
-    rows = rows.sortWithinPartitions("broker_name", "queue_id", "queue_offset")
-    data = f"{storage.data_path(path, topic)}/batch={name}"
-    with _timestamps_with_statistics(spark):
-        rows.write.mode("overwrite").parquet(data)
-    written = spark.read.schema(rows.schema).parquet(data)
-    with _timestamps_with_statistics(spark):  # one row per queue
-        state = _state_after(written, before).repartition(1)
-        state.write.mode("overwrite").parquet(f"{storage.ranges_path(path, topic)}/batch={name}")
-    storage.mark_committed(spark, path, topic, name)
-    return name
+    total = None
+    while True:
+        committed = storage.committed_batches(spark, path, topic)
+        after = committed[-1] if committed else None
+        name, done = _batch_name(spark, path, topic, _folder_name(txn))
+        if total is None:
+            total = 0 if done else messages.count()
+        if done or not total:
+            return None
+        before = None if after is None else storage.ranges(spark, path, topic, after)
+        ends = None if before is None else before.withColumn("offset", F.col("end"))
+        rows = assign_offsets(messages, order, ends, rows_per_bucket=rows_per_bucket, total=total)
+        rows = rows.select(LOG_SCHEMA.names).drop("topic")
+        if parallelism:
+            rows = rows.repartitionByRange(parallelism, "broker_name", "queue_id", "queue_offset")
+        # sorted files let row groups be skipped by queue and offset
+        rows = rows.sortWithinPartitions("broker_name", "queue_id", "queue_offset")
+        data = f"{storage.data_path(path, topic)}/batch={name}"
+        with _timestamps_with_statistics(spark):
+            rows.write.mode("overwrite").parquet(data)
+        written = spark.read.schema(rows.schema).parquet(data)
+        with _timestamps_with_statistics(spark):  # one row per queue
+            state = _state_after(written, before).repartition(1)
+            state.write.mode("overwrite").parquet(f"{storage.ranges_path(path, topic)}/batch={name}")
+        if storage.mark_committed(spark, path, topic, name, after):
+            return name
+        # another writer went on from the same state meanwhile: these offsets are taken
 
 
 def _write(df: DataFrame, options: opt.SinkOptions, txn: str, stage: bool, rows_per_bucket: int, kwargs: dict) -> str | None:
