@@ -8,6 +8,10 @@ parts of each queue's offsets. A trigger therefore ends at one store time for al
 commits there are, even inside one, so a watermark moves no faster than the slowest queue. Messages
 without time come before all others. Each task reads one message file.
 
+A topic is declared with the option keys of ``queuelog.options``, checked as everywhere, or by ``path``
+and ``topic`` alone. Rows are messages with their bodies as stored; ``queuelog.formats.decode`` reads those.
+A startup mode is resolved from the states that commits keep, and a tag goes into the parquet filter.
+
 Classes here run in plain Python processes and take everything from their options.
 """
 
@@ -22,6 +26,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from queuelog.model import LOG_SCHEMA
+from queuelog.options import FORMAT, TOPIC, source_options
 
 _DDL = (
     "topic string, broker_name string, queue_id int, queue_offset bigint, store_timestamp timestamp, "
@@ -32,7 +37,8 @@ _DDL = (
 def register(spark: SparkSession) -> None:
     """Make the format known to a session."""
     # workers may not have this package on their path
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    for name in (__name__, source_options.__module__):
+        cloudpickle.register_pickle_by_value(sys.modules[name])
     spark.dataSource.register(QueueLogSource)
 
 
@@ -60,6 +66,27 @@ def side_of(cut: tuple, number: int, rows: list) -> tuple:
     return time, [(r["broker_name"], r["queue_id"], r["start"] + -(-j * (r["end"] - r["start"]) // k)) for r in rows if r["end"] > r["start"]]
 
 
+#: Options that are not declarations of a table.
+_OWN = {"path", "topic", "starts", "startup", "discovery", "maxmessagespertrigger", "tag"}
+
+
+def declared(options) -> dict:
+    """Options of the format in one form, from table declarations or from its own names."""
+    given = {name.lower(): value for name, value in options.items()}
+    if TOPIC not in given:
+        unknown = sorted(set(given) - _OWN)
+        if unknown or not {"path", "topic"} <= set(given):
+            raise ValueError(f"unknown option '{unknown[0]}'" if unknown else "options 'path' and 'topic' must be set")
+        return given
+    own = {"maxmessagespertrigger": given.pop("maxmessagespertrigger", None)}
+    table = source_options({FORMAT: "raw", **given})
+    return own | {
+        "path": table.path, "topic": table.topic, "tag": table.tag, "discovery": str(table.discovery_interval_ms),
+        "startup": table.startup_mode, "specific": table.specific_offsets, "millis": table.timestamp_millis,
+        "group": table.group, "resolve": True,
+    }
+
+
 class FilePart(InputPartition):
     """Messages of one file after ``after`` and up to ``until``, both as ``side_of`` gives them.
 
@@ -73,6 +100,16 @@ class FilePart(InputPartition):
         self.skip, self.drop = list(skip), list(drop)
 
 
+def of_queue(broker, number):
+    """A parquet filter for the messages of a queue; null is a value like others."""
+    import pyarrow.dataset as ds
+
+    def equal(name, value):
+        return ds.field(name).is_null() if value is None else ds.field(name).is_valid() & (ds.field(name) == value)
+
+    return equal("broker_name", broker) & equal("queue_id", number)
+
+
 class _Topic:
     """Commits of a topic and their files."""
 
@@ -85,7 +122,8 @@ class _Topic:
         else:
             self.fs, root = fs.LocalFileSystem(), path
         root = root.rstrip("/")
-        self.name = options["topic"]
+        self.name, self.tag, self.options = options["topic"], options.get("tag"), options
+        self.groups = f"{root}/_groups/group={options.get('group')}/topic={self.name}"
         self.data = f"{root}/topic={self.name}"
         self.ranges = f"{root}/_ranges/topic={self.name}"
         self.marks = f"{root}/_commits/topic={self.name}"
@@ -127,6 +165,77 @@ class _Topic:
         number = max(commits)
         return sorted((r["broker_name"], r["queue_id"]) for r in self.range_rows(number, commits[number]))
 
+    def starts(self) -> list:
+        """(broker, queue, offset) of every queue for a declared startup mode; nothing for all from the first."""
+        o, commits = self.options, self.commits()
+        if not o.get("resolve") or o["startup"] == "earliest-offset" or not commits:
+            return []
+        last = max(commits)
+        found = {(r["broker_name"], r["queue_id"]): r["end"] for r in self.range_rows(last, commits[last])}
+        if o["startup"] == "group-offsets":
+            found |= {q: offset for q, offset in self._committed().items() if offset >= 0 and q in found}
+        elif o["startup"] == "timestamp":
+            found = dict.fromkeys(found, 0) | self._first_at(list(commits.values()), o["millis"])
+        elif o["startup"] == "specific-offsets":
+            for broker, queue in found:
+                offset = o["specific"].get(queue, -1)
+                if offset < 0:
+                    name = "-".join(str(part) for part in (self.name, broker, queue) if part is not None)
+                    raise ValueError(f"queue {name} needs an offset")
+                found[broker, queue] = offset
+        return [[broker, queue, offset] for (broker, queue), offset in found.items()]
+
+    def _committed(self) -> dict:
+        """Offsets of the group's last complete commit."""
+        import pyarrow.dataset as ds
+
+        numbers = (int(i.base_name.removeprefix("commit=")) for i in self._children(self.groups) if i.base_name.startswith("commit="))
+        for number in sorted(numbers, reverse=True):
+            folder = f"{self.groups}/commit={number}"
+            if any(info.base_name == "_SUCCESS" for info in self._children(folder)):
+                rows = ds.dataset(folder, filesystem=self.fs, format="parquet").to_table().to_pylist()
+                return {(r["broker_name"], r["queue_id"]): r["offset"] for r in rows}
+        return {}
+
+    def _first_at(self, names: list[str], millis: int) -> dict:
+        """First offset stored at or after a time, for the queues that have one.
+
+        States name the batch with which a queue gets there; of that batch only row groups are opened whose
+        statistics allow a smaller offset than the one found."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+
+        at = pa.scalar(millis * 1000, pa.timestamp("us", "UTC"))
+
+        def reached(name: str) -> list:
+            folder = ds.dataset(f"{self.ranges}/batch={name}", filesystem=self.fs, format="parquet")
+            columns = ["broker_name", "queue_id", "start", "end"]
+            return folder.to_table(columns=columns, filter=ds.field("seen_ts") >= at).to_pylist()
+
+        most, low, high = len(reached(names[-1])), 0, len(names) - 1
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (low, middle) if reached(names[middle]) else (middle + 1, high)
+        found, left = {}, names[low:] if most else []
+        for name in left:
+            new = [(r["broker_name"], r["queue_id"]) for r in reached(name) if r["end"] > r["start"]]
+            new = [queue for queue in new if queue not in found]
+            parts = list(ds.dataset(f"{self.data}/batch={name}", filesystem=self.fs, format="parquet").get_fragments()) if new else []
+            for queue in new:
+                least = None
+                for part in parts:
+                    wanted = of_queue(*queue) & (ds.field("store_timestamp") >= at)
+                    for group in part.split_by_row_group(wanted):
+                        inside = wanted if least is None else wanted & (ds.field("queue_offset") < least)
+                        for run in group.split_by_row_group(inside):
+                            offset = pc.min(run.to_table(columns=["queue_offset"], filter=inside)["queue_offset"]).as_py()
+                            least = offset if least is None or offset is not None and offset < least else least
+                found[queue] = least
+            if len(found) == most:
+                break
+        return found
+
     def files(self, names: list[str]) -> list[list[str]]:
         """Message files of each batch."""
         from concurrent.futures import ThreadPoolExecutor
@@ -143,12 +252,6 @@ class _Topic:
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
 
-        def equal(name, value):
-            return ds.field(name).is_null() if value is None else ds.field(name).is_valid() & (ds.field(name) == value)
-
-        def queue(broker, number):
-            return equal("broker_name", broker) & equal("queue_id", number)
-
         def before(cut):
             """What lies before a cut; a message without time lies before every time."""
             moment, same = cut
@@ -160,19 +263,22 @@ class _Topic:
             if isinstance(same, bool):
                 return first | at if same else first
             for broker, number, offset in same:
-                first = first | (at & queue(broker, number) & (ds.field("queue_offset") < offset))
+                first = first | (at & of_queue(broker, number) & (ds.field("queue_offset") < offset))
             return first
 
         wanted = pc.scalar(True)
+        if self.tag:  # untagged messages pass
+            tags = ds.field("tags")
+            wanted = tags.is_null() | (tags == "") | (tags == self.tag)
         time = ds.field("store_timestamp")
         if part.after is not None:
             wanted &= ~before(part.after)
         if part.until is not None:
             wanted &= before(part.until)
         for broker, number, offset in part.skip:
-            wanted &= ~(queue(broker, number) & (ds.field("queue_offset") < offset))
+            wanted &= ~(of_queue(broker, number) & (ds.field("queue_offset") < offset))
         for broker, number in part.drop:
-            wanted &= ~queue(broker, number)
+            wanted &= ~of_queue(broker, number)
         stored = [f for f in LOG_SCHEMA.names if f != "topic"]
         dataset = ds.dataset(part.path, filesystem=self.fs, format="parquet")
         for batch in dataset.to_batches(columns=stored, filter=wanted, batch_size=8192, batch_readahead=1):
@@ -183,21 +289,28 @@ class _Topic:
                 )
 
 
+def _read(options: dict, part: FilePart | None) -> Iterator:
+    """A task's messages; a read without any file has one task and no part."""
+    return iter(()) if part is None else _Topic(options).read(part)
+
+
 class _BatchReader(DataSourceReader):
+    """A stream's first trigger without a cap."""
+
     def __init__(self, options: dict):
-        self.options = {name.lower(): value for name, value in options.items()}
+        self.options = options
 
     def partitions(self):
-        topic = _Topic(self.options)
-        return [FilePart(path) for paths in topic.files(list(topic.commits().values())) for path in paths]
+        stream = _StreamReader({**self.options, "maxmessagespertrigger": None})
+        return stream.partitions(stream.initialOffset(), stream.latestOffset())
 
     def read(self, partition):
-        return _Topic(self.options).read(partition)
+        return _read(self.options, partition)
 
 
 class _StreamReader(DataSourceStreamReader):
     def __init__(self, options: dict):
-        self.options = {name.lower(): value for name, value in options.items()}
+        self.options = options
         self.topic = _Topic(self.options)
         cap = self.options.get("maxmessagespertrigger")
         self.cap = int(cap) if cap else None
@@ -210,7 +323,7 @@ class _StreamReader(DataSourceStreamReader):
         return {
             "seq": -1, "group": -1, "cut": None,
             # kept in the checkpoint, so a restart does not resolve them anew
-            "starts": json.loads(starts) if starts else [],
+            "starts": json.loads(starts) if starts else self.topic.starts(),
             "known": self.topic.queues() if frozen else None,
         }
 
@@ -325,7 +438,7 @@ class _StreamReader(DataSourceStreamReader):
         return parts
 
     def read(self, partition):
-        return _Topic(self.options).read(partition)
+        return _read(self.options, partition)
 
     def commit(self, end: dict) -> None:
         self.topic.forget(end["seq"])
@@ -340,7 +453,7 @@ class QueueLogSource(DataSource):
         return _DDL
 
     def reader(self, schema):
-        return _BatchReader(self.options)
+        return _BatchReader(declared(self.options))
 
     def streamReader(self, schema):
-        return _StreamReader(self.options)
+        return _StreamReader(declared(self.options))
