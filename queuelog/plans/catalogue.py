@@ -12,7 +12,7 @@ from queuelog.functions import binary, cdc, formats, text
 from queuelog.model import QUEUE_KEY, as_schema, scratch_path
 from queuelog.operators import changelog, compaction, event_time, partitioners, placement
 from queuelog.plans import fixtures as fx
-from queuelog.sources import positions, scan, storage
+from queuelog.sources import datasource, positions, scan, storage
 from queuelog.streaming import sink
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,6 +239,25 @@ def log_stream(spark, sf):
     return _run(spark, stream)
 
 
+@query(
+    "log_by_format",
+    LOG + f""", starts AS (
+  SELECT broker_name, queue_id, min(queue_offset) AS first_offset FROM log
+  WHERE epoch_ms(ts) >= {START_MILLIS} GROUP BY ALL)
+SELECT event_id, log.broker_name, log.queue_id, queue_offset
+FROM log LEFT JOIN starts ON log.broker_name = starts.broker_name AND log.queue_id = starts.queue_id
+WHERE tags = 'click' AND queue_offset >= coalesce(first_offset, 0)""",
+)
+def log_by_format(spark, sf):
+    """The table's declaration as options of the format: start time and tag."""
+    datasource.register(spark)
+    declared = _log(spark, sf, tag="click", **{
+        "scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": str(START_MILLIS)})
+    messages = spark.read.format("queuelog").options(**declared).load()
+    rows = formats.decode(messages, "json", as_schema(fx.EVENT_SCHEMA))
+    return rows.select(F.col("value")["event_id"].alias("event_id"), *QUEUE, "queue_offset")
+
+
 @query("log_stream_capped", "SELECT event_id, user_id, value FROM events")
 def log_stream_capped(spark, sf):
     """Two commits, store times cut to the day and some missing: far more messages of a time than a trigger takes."""
