@@ -93,11 +93,14 @@ def expand_ogg(e: Column, schema: T.StructType, strict: bool) -> Column:
     )
 
 
-def _with_old_keys(body: Column, item: T.DataType, keys: str, parse: dict) -> Column:
-    """``data``, ``old`` and ``type``, and next to them the names that ``old`` spells out."""
+def _with_old_keys(body: Column, item: T.DataType, keys: str, update: str, parse: dict) -> Column:
+    """``data``, ``old`` and ``type``, and next to them the names that ``old`` spells out.
+
+    Null and missing look alike once typed, so the body of an update is read once more, for names alone."""
     shape = T.StructType([T.StructField("data", item), T.StructField("old", item), T.StructField("type", T.StringType())])
+    e = _json(body, shape, parse)
     named = F.from_json(body.cast("string"), f"struct<old:{keys}>", {"mode": "PERMISSIVE"})["old"]
-    return F.struct(_json(body, shape, parse).alias("e"), named.alias("keys"))
+    return F.struct(e.alias("e"), F.when(e["type"] == update, named).alias("keys"))
 
 
 def _before_image(after: Column, old: Column, old_keys: Column, schema: T.StructType) -> Column:
@@ -111,7 +114,7 @@ def _before_image(after: Column, old: Column, old_keys: Column, schema: T.Struct
 
 
 def parse_canal(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
-    return _with_old_keys(body, T.ArrayType(schema), "array<map<string,string>>", parse)
+    return _with_old_keys(body, T.ArrayType(schema), "array<map<string,string>>", "UPDATE", parse)
 
 
 def expand_canal(parsed: Column, schema: T.StructType, strict: bool) -> Column:
@@ -132,7 +135,7 @@ def expand_canal(parsed: Column, schema: T.StructType, strict: bool) -> Column:
 
 
 def parse_maxwell(body: Column, schema: T.StructType, parse: dict, options: dict) -> Column:
-    return _with_old_keys(body, schema, "map<string,string>", parse)
+    return _with_old_keys(body, schema, "map<string,string>", "update", parse)
 
 
 def expand_maxwell(parsed: Column, schema: T.StructType, strict: bool) -> Column:

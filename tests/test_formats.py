@@ -175,6 +175,23 @@ def test_changed_to_null_is_not_unchanged(spark):
     assert [(v["id"], v["name"]) for v in values(spark, [body], "canal-json")] == [(1, "a"), (1, None), (9, "x"), (2, "x")]
 
 
+@pytest.mark.parametrize("fmt", ["canal-json", "maxwell-json"])
+def test_names_in_old(spark, fmt):
+    """Numbers, nested rows and unknown fields of ``old`` come out as they are; names matter to updates only."""
+    one = (lambda v: [v]) if fmt == "canal-json" else (lambda v: v)
+    kinds = [k.upper() if fmt == "canal-json" else k for k in ("update", "insert")]
+    schema = "id bigint, price decimal(38,18), at struct<x:int,y:array<string>>"
+    data = {"id": 1, "price": 2, "at": {"x": 1, "y": ["a"]}}
+    old = '{"price": 12345678901234567890.123456789012345678, "at": {"x": 2, "y": null}, "gone": true}'
+    text = json.dumps({"data": one(data), "old": one("@"), "type": kinds[0]}).replace('"@"', old)
+    new = json.dumps({"data": one(data), "old": one({"gone": [1]}), "type": kinds[1]})
+    df = spark.createDataFrame([(text.encode(),), (new.encode(),)], "body binary")
+    rows = formats.decode(df, fmt, schema).select("row_kind", "value.*")
+    before, after, inserted = rows.collect()
+    assert (before.row_kind, before.id, str(before.price)) == ("-U", 1, "12345678901234567890.123456789012345678")
+    assert (before["at"].x, before["at"].y) == (2, None) and after["at"].y == ["a"] and inserted.row_kind == "+I"
+
+
 def test_debezium_details(spark):
     snapshot = {"after": {"id": 1}, "op": "r"}
     assert decode(spark, [json.dumps(snapshot)], "debezium-json")[0][1] == "+I"
