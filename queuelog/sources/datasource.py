@@ -6,7 +6,8 @@ then commit, then offset. A cut is ``[time, commit, j, k]``: all that was stored
 (microseconds), of that time what earlier commits hold, and of that commit the first j of k equal
 parts of each queue's offsets. A trigger therefore ends at one store time for all queues and all
 commits there are, even inside one, so a watermark moves no faster than the slowest queue. Messages
-without time come before all others. Each task reads one message file.
+without time come before all others. A task reads one message file, or of a large one a run of row groups
+that its statistics leave over, and only the columns of the schema given to the reader.
 
 A topic is declared with the option keys of ``queuelog.options``, checked as everywhere, or by ``path``
 and ``topic`` alone. Rows are messages with their bodies as stored; ``queuelog.formats.decode`` reads those.
@@ -67,7 +68,10 @@ def side_of(cut: tuple, number: int, rows: list) -> tuple:
 
 
 #: Options that are not declarations of a table.
-_OWN = {"path", "topic", "starts", "startup", "discovery", "maxmessagespertrigger", "tag"}
+_OWN = {"path", "topic", "starts", "startup", "discovery", "maxmessagespertrigger", "maxpartitionbytes", "tag"}
+
+#: Bytes of a file that a task reads, where the option ``maxPartitionBytes`` does not say otherwise.
+PART_BYTES = 128 << 20
 
 
 def declared(options) -> dict:
@@ -78,7 +82,7 @@ def declared(options) -> dict:
         if unknown or not {"path", "topic"} <= set(given):
             raise ValueError(f"unknown option '{unknown[0]}'" if unknown else "options 'path' and 'topic' must be set")
         return given
-    own = {"maxmessagespertrigger": given.pop("maxmessagespertrigger", None)}
+    own = {name: given.pop(name, None) for name in ("maxmessagespertrigger", "maxpartitionbytes")}
     table = source_options({FORMAT: "raw", **given})
     return own | {
         "path": table.path, "topic": table.topic, "tag": table.tag, "discovery": str(table.discovery_interval_ms),
@@ -88,16 +92,20 @@ def declared(options) -> dict:
 
 
 class FilePart(InputPartition):
-    """Messages of one file after ``after`` and up to ``until``, both as ``side_of`` gives them.
+    """Messages of one file after ``after`` and up to ``until``, both as ``side_of`` gives them,
+    from all row groups or from those with the numbers ``groups``.
 
     ``skip`` lists (broker, queue, offset) below which messages are left out, ``drop`` whole
     queues; both only for queues of this file's commit.
     """
 
-    def __init__(self, path: str, after=None, until=None, skip=(), drop=()):
+    def __init__(self, path: str, after=None, until=None, skip=(), drop=(), groups=None):
         super().__init__(path)
         self.path, self.after, self.until = path, after, until
-        self.skip, self.drop = list(skip), list(drop)
+        self.skip, self.drop, self.groups = list(skip), list(drop), groups
+
+    def of_groups(self, groups: list[int]) -> FilePart:
+        return FilePart(self.path, self.after, self.until, self.skip, self.drop, groups)
 
 
 def of_queue(broker, number):
@@ -236,18 +244,49 @@ class _Topic:
                 break
         return found
 
-    def files(self, names: list[str]) -> list[list[str]]:
-        """Message files of each batch."""
+    def files(self, names: list[str]) -> list[list[tuple[str, int]]]:
+        """Message files of each batch and their sizes."""
         from concurrent.futures import ThreadPoolExecutor
 
-        def of(name: str) -> list[str]:
+        def of(name: str) -> list[tuple[str, int]]:
             found = self._children(f"{self.data}/batch={name}")
-            return sorted(info.path for info in found if info.base_name.endswith(".parquet"))
+            return sorted((info.path, info.size) for info in found if info.base_name.endswith(".parquet"))
 
         with ThreadPoolExecutor(32) as pool:
             return list(pool.map(of, names))
 
-    def read(self, part: FilePart) -> Iterator:
+    def _fragment(self, path: str):
+        import pyarrow.dataset as ds
+
+        return next(ds.dataset(path, filesystem=self.fs, format="parquet").get_fragments())
+
+    def split(self, parts: list[tuple[FilePart, int]]) -> list[FilePart]:
+        """Parts of files, given with their sizes, cut into runs of row groups where a file is large.
+
+        Only large files are opened, for their footers; row groups without a message of the part are left out."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        most = int(self.options.get("maxpartitionbytes") or PART_BYTES)
+
+        def runs(part: FilePart, size: int) -> list[FilePart]:
+            if size <= most:
+                return [part]
+            fragment = self._fragment(part.path)
+            stored = sum(group.total_byte_size for group in fragment.row_groups)  # before compression
+            found, held = [], 0
+            for group in (g for one in fragment.split_by_row_group(self._wanted(part)) for g in one.row_groups):
+                own = group.total_byte_size * size // max(stored, 1)
+                if not found or held + own > most:
+                    found, held = [*found, []], 0
+                found[-1].append(group.id)
+                held += own
+            return [part.of_groups(ids) for ids in found]
+
+        with ThreadPoolExecutor(32) as pool:
+            return [run for cut in pool.map(lambda item: runs(*item), parts) for run in cut]
+
+    def _wanted(self, part: FilePart):
+        """The messages of a part as a parquet filter."""
         import pyarrow as pa
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
@@ -279,14 +318,20 @@ class _Topic:
             wanted &= ~(of_queue(broker, number) & (ds.field("queue_offset") < offset))
         for broker, number in part.drop:
             wanted &= ~of_queue(broker, number)
-        stored = [f for f in LOG_SCHEMA.names if f != "topic"]
-        dataset = ds.dataset(part.path, filesystem=self.fs, format="parquet")
-        for batch in dataset.to_batches(columns=stored, filter=wanted, batch_size=8192, batch_readahead=1):
+        return wanted
+
+    def read(self, part: FilePart) -> Iterator:
+        import pyarrow as pa
+
+        names = self.options.get("columns") or LOG_SCHEMA.names
+        fragment = self._fragment(part.path)
+        if part.groups is not None:
+            fragment = fragment.subset(row_group_ids=part.groups)
+        stored = [name for name in names if name != "topic"]
+        for batch in fragment.to_batches(columns=stored, filter=self._wanted(part), batch_size=8192, batch_readahead=1):
             if batch.num_rows:
-                topic = pa.array([self.name] * batch.num_rows, pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [topic, *[batch.column(n) for n in stored]], names=["topic", *stored]
-                )
+                topic = pa.array([self.name] * batch.num_rows, pa.string()) if "topic" in names else None
+                yield pa.RecordBatch.from_arrays([topic if n == "topic" else batch.column(n) for n in names], names=names)
 
 
 def _read(options: dict, part: FilePart | None) -> Iterator:
@@ -434,8 +479,8 @@ class _StreamReader(DataSourceStreamReader):
             after, until = _as_cut(start["cut"]), _as_cut(end["cut"])
             after = side_of(after, number, rows) if after and number <= start["group"] else None
             until = side_of(until, number, rows) if until and number > end["seq"] else None
-            parts += [FilePart(path, after, until, skip, drop) for path in paths]
-        return parts
+            parts += [(FilePart(path, after, until, skip, drop), size) for path, size in paths]
+        return self.topic.split(parts)
 
     def read(self, partition):
         return _read(self.options, partition)
@@ -444,6 +489,15 @@ class _StreamReader(DataSourceStreamReader):
         self.topic.forget(end["seq"])
 
 
+def _with_columns(options: dict, schema) -> dict:
+    """Options with the columns to read: all, or those of the schema that the reader was given."""
+    types = {field.name: field.dataType for field in LOG_SCHEMA}
+    for field in schema:
+        if types.get(field.name) != field.dataType:
+            raise ValueError(f"messages have no column '{field.name}' of type {field.dataType.simpleString()}")
+    return {**options, "columns": schema.names}
+
+
 class QueueLogSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -453,7 +507,7 @@ class QueueLogSource(DataSource):
         return _DDL
 
     def reader(self, schema):
-        return _BatchReader(declared(self.options))
+        return _BatchReader(_with_columns(declared(self.options), schema))
 
     def streamReader(self, schema):
-        return _StreamReader(declared(self.options))
+        return _StreamReader(_with_columns(declared(self.options), schema))

@@ -153,8 +153,10 @@ def read_log_stream(
         datasource.register(spark)
         reader = spark.readStream.format("queuelog").options(
             path=resolved.path, topic=resolved.topic, startup=resolved.startup_mode,
-            discovery=str(resolved.discovery_interval_ms),
-        )
+            discovery=str(resolved.discovery_interval_ms), maxPartitionBytes=str(_part_bytes(spark)),
+        ).schema(_needed(resolved, metadata))
+        if resolved.tag:
+            reader = reader.option("tag", resolved.tag)
         if resolved.startup_mode != "earliest-offset":
             reader = reader.option("starts", datasource.starts_json(_resolved(spark, resolved, committed)))
         if max_messages_per_trigger:
@@ -191,6 +193,20 @@ def read_log_stream(
     return rows
 
 
+def _part_bytes(spark: SparkSession) -> int:
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
+def _needed(o: opt.SourceOptions, metadata: dict | list | tuple) -> T.StructType:
+    """Message columns that a table with this metadata reads; all of them where an expression may use any."""
+    sources = list(metadata.values()) if isinstance(metadata, dict) else list(metadata)
+    if not all(isinstance(source, str) for source in sources):
+        return LOG_SCHEMA
+    names = {*sources, "body", *(["tags"] if o.tag else [])}
+    return T.StructType([field for field in LOG_SCHEMA if field.name in names])
+
+
 def _resolved(spark: SparkSession, o: opt.SourceOptions, committed: DataFrame | None) -> list:
     starts = positions.starting_offsets(
         spark, o.path, o.topic, o.startup_mode, group=o.group, specific=o.specific_offsets,

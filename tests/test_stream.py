@@ -1,4 +1,5 @@
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from queuelog import read_log, read_log_stream, write_log, write_log_stream
 from queuelog.operators import event_time
 from queuelog.plans import fixtures as fx
-from queuelog.sources import positions, storage
+from queuelog.sources import datasource, positions, storage
 
 T0 = datetime.datetime(2024, 1, 1)
 SCHEMA = "id bigint"
@@ -311,3 +312,72 @@ def test_queue_watermarks(spark, tmp_path):
     got = {r["queue_id"]: r["watermark"] for r in event_time.queue_watermarks(messages, "1 minute").collect()}
     assert got == {0: T0 + datetime.timedelta(seconds=740), 1: T0 + datetime.timedelta(seconds=840)}
     assert event_time.combined_watermark(messages, "1 minute").first()[0] == got[0]
+
+
+def _parts(path, **more):
+    """Parts of a topic's first trigger, and its reader."""
+    given = {"path": str(path), "topic": "t", **more}
+    reader = datasource._StreamReader(datasource.declared(given))
+    start = reader.initialOffset()
+    return reader, reader.partitions(start, reader.latestOffset())
+
+
+def test_large_file_is_read_in_runs_of_row_groups(spark, tmp_path):
+    small = {"parquet.block.size": "2048", "parquet.page.size.row.check.min": "100", "parquet.page.size.row.check.max": "100"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        df = spark.range(4000).withColumn("queue_id", F.expr("cast(id % 2 as int)")).withColumn("ts", F.timestamp_seconds("id"))
+        write_log(
+            df, fx.options(str(tmp_path / "log"), "t", **{"sink.parallelism": "1"}), exclude=("queue_id", "ts"),
+            order=["id"], store_timestamp=F.col("ts"),
+        )
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    reader, parts = _parts(tmp_path / "log", maxPartitionBytes="1")
+    assert len({part.path for part in parts}) == 1 and len(parts) >= 10
+    assert [part.groups for part in parts] == [[i] for i in range(len(parts))]
+    read = [offset for part in parts for batch in reader.read(part) for offset in batch.column("queue_offset").to_pylist()]
+    assert sorted(read) == sorted([*range(2000)] * 2)
+    # fewer and longer runs, one for a small file
+    size = os.path.getsize(parts[0].path)
+    _, runs = _parts(tmp_path / "log", maxPartitionBytes=str(size // 3))
+    assert 3 <= len(runs) < len(parts) and [i for run in runs for i in run.groups] == list(range(len(parts)))
+    _, whole = _parts(tmp_path / "log")
+    assert [part.groups for part in whole] == [None]
+    # a start time far back leaves most row groups out by their statistics
+    starts = '[["broker-0", 0, 1900], ["broker-0", 1, 1950]]'
+    reader, late = _parts(tmp_path / "log", maxPartitionBytes="1", starts=starts)
+    assert len(late) < len(parts) / 2
+    assert sum(batch.num_rows for part in late for batch in reader.read(part)) == 150
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1kb")
+    try:
+        stream = read_log_stream(spark, options(tmp_path / "log"), SCHEMA)
+        run(stream, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert ids(spark, tmp_path, stream) == list(range(4000))
+
+
+def test_only_needed_columns_go_through_the_source(spark, tmp_path):
+    put(spark, tmp_path / "log", range(10))
+
+    def source(stream):
+        plan = stream._jdf.queryExecution().analyzed().collectLeaves().head()
+        return [plan.output().apply(i).name() for i in range(plan.output().size())]
+
+    assert source(read_log_stream(spark, options(tmp_path / "log"), SCHEMA)) == ["store_timestamp", "body"]
+    tagged = read_log_stream(spark, options(tmp_path / "log", tag="x"), SCHEMA, metadata=["queue_id", "topic"])
+    assert source(tagged) == ["topic", "queue_id", "tags", "body"]
+    stream = read_log_stream(spark, options(tmp_path / "log"), SCHEMA, metadata={"where": F.concat("topic", F.lit("-"), "queue_id")})
+    assert len(source(stream)) == 9
+    run(stream, tmp_path)
+    rows = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").collect()
+    assert sorted((r["id"], r["where"]) for r in rows) == [(i, f"t-{i % 2}") for i in range(10)]
+    datasource.register(spark)
+    reader = spark.read.format("queuelog").options(path=str(tmp_path / "log"), topic="t")
+    assert sorted(tuple(r) for r in reader.schema("queue_id int, topic string").load().collect()) == [(0, "t")] * 5 + [(1, "t")] * 5
+    with pytest.raises(Exception, match="no column 'queue_id' of type bigint"):
+        reader.schema("queue_id bigint").load().collect()
