@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from queuelog.llm import simhash
 from queuelog.llm.common import components, free_shuffles, rows_of, staged
 from queuelog.llm.simhash import shingle_hashes
 
@@ -223,13 +224,41 @@ def grouped(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, doc_i
     sets = staged(_sets(docs, shingle, least), "sets")
     own = [F.max(name).alias(name) for name in ("size", "low", "high")]
     nodes = staged(sets.groupBy("node").agg(F.min("source").alias("source"), *own), "nodes")
+    joined = staged(components(_near(docs, nodes, shingle, least)), "near")
+    free_shuffles(docs.sparkSession)
     # sets that share keys of one class, directly or by others, are candidates there; as no group spans
-    # several classes, sets of very different sizes never meet. A group is cut into blocks by its size
-    groups = staged(components(_stars(_keyed(docs, shingle, least))), "candidates")
+    # several classes, sets of very different sizes never meet
+    groups = staged(components(staged(_stars(_keyed(docs, shingle, least)), "stars")), "candidates")
     free_shuffles(docs.sparkSession)
     met = nodes.withColumn("number", F.explode(F.sequence("low", "high")))
     placed = groups.join(met.withColumnRenamed("node", "own"), F.col("node") == F.col("own").bitwiseXOR(F.col("number")))
     placed = placed.select("root", F.col("own").alias("node"), "source", "size")
+    # what is one component already has nothing left to compare
+    known = joined.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    placed = placed.join(known, F.col("node") == F.col("_node"), "left").withColumn("_root", F.coalesce("_root", "node"))
+    placed = staged(placed.drop("_node"), "placed")
+    torn = placed.groupBy("root").agg(F.min("_root").alias("least"), F.max("_root").alias("most")).where("least <> most")
+    links = _links_of(docs, placed.drop("_root").join(torn.select("root"), "root", "left_semi"), shingle, least)
+    known = joined.select(F.col("node").alias("u"), F.col("root").alias("v"))
+    found = components(links.unionByName(known)).withColumnRenamed("node", "_node")
+    free_shuffles(docs.sparkSession)
+    roots = nodes.join(found, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("root", "node").alias("root"))
+    return sets.select("doc_id", "source", "node").join(roots, "node").drop("node")
+
+
+def _near(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
+    """Links within the components of SimHash fingerprints, confirmed like others. Most copies with few
+    changes are found here, so their texts need not move once more for the keys they share."""
+    near = simhash.near_duplicates(_texts(docs).select("source", "text"), doc_id="source")
+    near = near.select(F.col("doc_id").alias("source"), F.col("component_id").alias("root")).distinct()
+    placed = staged(nodes.where("size > 0").select("node", "source", "size").join(near, "source"), "fingerprinted")
+    several = placed.groupBy("root").count().where("count > 1").select("root")
+    return _links_of(docs, placed.join(several, "root", "left_semi"), shingle, similarity)
+
+
+def _links_of(docs: DataFrame, placed: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
+    """Confirmed links inside groups given as ``root, node, source, size``. A group is cut into blocks by its
+    size, and a set meets every block."""
     blocks = placed.groupBy("root").agg(F.ceil(F.sum("size") / F.lit(BLOCK)).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: (i != F.col("block")) | (F.col("blocks") == 1))
@@ -237,10 +266,7 @@ def grouped(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, doc_i
     placed = placed.select("root", "node", "source", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     # one text of each set meets its places; equal texts lie together, so leaving them out moves nothing
     texts = _texts(docs).select("source", "text").join(placed, "source").dropDuplicates(["source", "root", "low", "high"])
-    found = components(_confirmed(texts.select("root", "low", "high", "node", "text"), shingle, least)).withColumnRenamed("node", "_node")
-    free_shuffles(docs.sparkSession)
-    roots = nodes.join(found, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("root", "node").alias("root"))
-    return sets.select("doc_id", "source", "node").join(roots, "node").drop("node")
+    return staged(_confirmed(texts.select("root", "low", "high", "node", "text"), shingle, similarity), "confirmed")
 
 
 def similar_documents(docs: DataFrame, **options) -> DataFrame:

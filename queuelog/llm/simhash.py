@@ -195,7 +195,8 @@ def near_duplicates(
     """
     fps = staged(fingerprints(docs, shingle, doc_id, text), "fingerprints")
     firsts = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
-    found = components(links(firsts.select("fp"), most))
+    # links are staged, so that no stage runs two Python functions: each would hold a worker of its own
+    found = components(staged(links(firsts.select("fp"), most), "linked"))
     roots = firsts.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     component = roots.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
