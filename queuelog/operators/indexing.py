@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from queuelog.functions.formats import TIME_STANDARDS
-from queuelog.model import same_key_join
+from queuelog.model import same_key_join, scratch_path
 
-#: A sort bucket aims at this many rows.
-ROWS_PER_BUCKET = 2_000_000
+#: A sort bucket aims at this many rows; a task sorts one bucket, so its memory does not grow with the input.
+ROWS_PER_BUCKET = 200_000
 #: Number of buckets at most; beyond it buckets grow and spill.
 MAX_BUCKETS = 10_000
 _SAMPLES_PER_BUCKET = 20
@@ -64,7 +64,8 @@ def dense_index(
     Rows are cut into buckets of ``(group, order)`` ranges whose limits are literals, so the
     bucket of a row never depends on how Spark ran. Each bucket counts its rows, the small
     table of counts gives every bucket its first number, and rows are numbered inside their
-    bucket. A large group spans many buckets; small groups share one.
+    bucket. A large group spans many buckets; small groups share one. Tasks take
+    about ``ROWS_PER_BUCKET`` rows at most.
 
     ``df`` is evaluated several times (mostly its key columns only), so it must give the same
     rows each time.
@@ -91,6 +92,10 @@ def dense_index(
     bucketed = df.withColumn("_bucket", _position(key, constant, len(splits)))
 
     counts = bucketed.groupBy(*group, "_bucket").count()  # at most buckets + groups rows
+    # written first, so that Spark knows how few they are and does not shuffle the rows once more to join them
+    folder = scratch_path(df.sparkSession, "counts")
+    counts.write.parquet(folder)
+    counts = df.sparkSession.read.schema(counts.schema).parquet(folder)
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(*group, "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
     if begins is not None:  # joined to the counts, never to the rows
@@ -98,7 +103,10 @@ def dense_index(
         bases = bases.drop("_first")
 
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
-    ranked = bucketed.withColumn("_rank", F.row_number().over(inside))
+    # in turn, as by hash several would meet in a task; as many tasks as the session shuffles to, more for large inputs
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_BUCKET))
+    placed = bucketed.repartitionById(min(len(splits) + 1, tasks), F.col("_bucket"))
+    ranked = placed.withColumn("_rank", F.row_number().over(inside))
     return (
         same_key_join(ranked, bases, [*group, "_bucket"])
         .withColumn(name, F.col("_base") + F.col("_rank") - 1)
