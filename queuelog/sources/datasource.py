@@ -73,6 +73,9 @@ _OWN = {"path", "topic", "starts", "startup", "discovery", "maxmessagespertrigge
 #: Bytes of a file that a task reads, where the option ``maxPartitionBytes`` does not say otherwise.
 PART_BYTES = 128 << 20
 
+#: Bytes read ahead of a column, and encoded bytes of a batch's rows at most.
+BUFFER_BYTES, BATCH_BYTES = 1 << 20, 16 << 20
+
 
 def declared(options) -> dict:
     """Options of the format in one form, from table declarations or from its own names."""
@@ -321,17 +324,30 @@ class _Topic:
         return wanted
 
     def read(self, part: FilePart) -> Iterator:
+        """Messages of a part; a row group is decoded a batch at a time, never as a whole."""
         import pyarrow as pa
+        import pyarrow.parquet as pq
 
         names = self.options.get("columns") or LOG_SCHEMA.names
-        fragment = self._fragment(part.path)
+        stored = [name for name in names if name != "topic"]
+        asked = ["tags"] if self.tag else []
+        if part.after is not None or part.until is not None or part.skip or part.drop:
+            asked += ["store_timestamp", "broker_name", "queue_id", "queue_offset"]
+        fragment, wanted = self._fragment(part.path), self._wanted(part)
         if part.groups is not None:
             fragment = fragment.subset(row_group_ids=part.groups)
-        stored = [name for name in names if name != "topic"]
-        for batch in fragment.to_batches(columns=stored, filter=self._wanted(part), batch_size=8192, batch_readahead=1):
-            if batch.num_rows:
-                topic = pa.array([self.name] * batch.num_rows, pa.string()) if "topic" in names else None
-                yield pa.RecordBatch.from_arrays([topic if n == "topic" else batch.column(n) for n in names], names=names)
+        groups = [group for one in fragment.split_by_row_group(wanted) for group in one.row_groups]
+        with self.fs.open_input_file(part.path) as source:
+            file = pq.ParquetFile(source, buffer_size=BUFFER_BYTES, pre_buffer=False)
+            for group in groups:
+                rows = max(1, min(8192, BATCH_BYTES * group.num_rows // max(group.total_byte_size, 1)))
+                columns = list(dict.fromkeys([*stored, *asked])) or ["queue_offset"]
+                for batch in file.iter_batches(rows, row_groups=[group.id], columns=columns, use_threads=False):
+                    found = pa.Table.from_batches([batch])
+                    for kept in (found.filter(wanted) if asked else found).to_batches():
+                        if kept.num_rows:
+                            topic = pa.array([self.name] * kept.num_rows, pa.string()) if "topic" in names else None
+                            yield pa.RecordBatch.from_arrays([topic if n == "topic" else kept.column(n) for n in names], names=names)
 
 
 def _read(options: dict, part: FilePart | None) -> Iterator:
