@@ -10,6 +10,7 @@ skips names with a leading underscore when it lists data files. A plain parquet
 the message columns under ``topic=<t>`` also works as a log; then offset bounds come from a
 scan of the key columns. Several writers may write at a time: a commit claims the state it goes on
 from, ``<log>/_commits/topic=<t>/.after-<batch>``, and the one that comes second starts over.
+``.done-<batch>`` beside it tells a batch whose commit file was taken away from one not finished yet.
 """
 
 from __future__ import annotations
@@ -97,10 +98,14 @@ def mark_committed(spark: SparkSession, log: str, topic: str, batch: str, after:
     """Make a batch count that goes on from the state of ``after``; False if another one does.
 
     Whoever claims a state has written all it needs by then, so a commit that was cut off right after
-    its claim is finished here for it."""
+    its claim is finished here for it. A batch that was finished and has lost its commit file since does not
+    come back: what would have followed it follows its claim."""
     folder = Folder(spark, commits_path(log, topic))
     owner = folder.claim(f".after-{after or 'nothing'}", batch)
+    while owner != batch and folder.has(f".done-{owner}") and not folder.has(owner):
+        owner = folder.claim(f".after-{owner}", batch)
     folder.touch(owner)
+    folder.touch(f".done-{owner}")
     return owner == batch
 
 
