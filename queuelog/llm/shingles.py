@@ -2,6 +2,7 @@
 
 Sets that are similar enough differ in few shingles. Shingles are dealt by their hash into more parts
 than may differ, so two similar sets agree wholly in one part at least, and a part's hash is a key.
+A set that shares fewer keys than it must with a similar one is compared with nothing.
 Keys only say which sets to compare; every link is then confirmed on the shingles themselves.
 """
 
@@ -14,7 +15,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from queuelog.llm import simhash
@@ -61,6 +62,24 @@ class Classes:
         """Classes of the smaller set in pairs that a set of this size can be in: its own, or the one below."""
         return range(self.of(-(-size * self.p // self.q)), self.of(size) + 1)
 
+    def parts(self, number: int) -> int:
+        most = self.differ(number)
+        return most + most // 8 + 3
+
+    def needs(self, grams: np.ndarray) -> list[int]:
+        """For each class that a set meets others in: how many of its keys a similar set there has at
+        least. All its filled parts agree but one for each shingle in which the two may differ, with
+        their sizes and not the largest of the class in mind."""
+        size, needs = len(grams), []
+        for number in self.met(size):
+            if number == self.of(size):
+                differ = size * (self.q - self.p) // self.p
+            else:
+                differ = (self.lows[number + 1] - 1 + size) * (self.q - self.p) // (self.q + self.p)
+            filled = len(np.unique(grams % np.uint64(self.parts(number))))
+            needs.append(max(1, filled - differ))
+        return needs
+
     def keys(self, grams: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Hashes of the parts of a set, for each class that it meets others in.
 
@@ -72,7 +91,7 @@ class Classes:
             most = self.differ(number)
             if not most:
                 continue  # only equal sets, which are one node
-            parts = most + most // 8 + 3
+            parts = self.parts(number)
             part = (grams % np.uint64(parts)).astype(np.int64)
             total = np.zeros(parts, np.uint64)
             np.add.at(total, part, _mixed(grams))
@@ -83,8 +102,9 @@ class Classes:
 
 
 def _sets(docs: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
-    """For every row its set's id, size and classes, and a hash of its text to find it by."""
-    names = ["doc_id", "source", "node", "size", "low", "high"]
+    """For every row its set's id, size, first class and needs in its classes, and a hash of its text to find it by."""
+    names = ["doc_id", "source", "node", "size", "low", "needs"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(similarity)
@@ -92,12 +112,11 @@ def _sets(docs: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
             found = []
             for _, text, _ in rows_of([batch], 64):
                 grams = shingle_set(text, shingle)
-                met = classes.met(len(grams))
-                found.append((set_id(grams), len(grams), met[0], met[-1]))
-            own = [pa.array([f[i] for f in found], pa.int64()) for i in range(4)]
+                found.append((set_id(grams), len(grams), classes.met(len(grams))[0], classes.needs(grams)))
+            own = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *own], names)
 
-    return _texts(docs).mapInArrow(compute, ", ".join(f"{name} bigint" for name in names))
+    return _texts(docs).mapInArrow(compute, ", ".join(f"{name} bigint" for name in names[:-1]) + ", needs array<bigint>")
 
 
 def _keyed(docs: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
@@ -132,6 +151,28 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", text_hash(F.col("text")).alias("source"))
 
 
+def _shared(keyed: DataFrame) -> DataFrame:
+    """``key, node``, once each, for the keys that several sets have."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the last row waits for the next one; ``before`` says whether the row before it has its key
+        key, node, before = np.empty(0, np.int64), np.empty(0, np.int64), False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, node = (np.concatenate([held, c.to_numpy()]) for held, c in zip((key, node), batch.columns))
+            once = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])]))
+            key, node = key[once], node[once]
+            same = np.concatenate([[before], key[1:] == key[:-1]])
+            own = np.flatnonzero(same[:-1] | same[1:])
+            yield pa.RecordBatch.from_arrays([pa.array(key[own]), pa.array(node[own])], ["key", "node"])
+            key, node, before = key[-1:], node[-1:], bool(same[-1])
+        own = slice(0, len(key) if before else 0)
+        yield pa.RecordBatch.from_arrays([pa.array(key[own]), pa.array(node[own])], ["key", "node"])
+
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(find, "key bigint, node bigint")
+
+
 def _stars(keyed: DataFrame) -> DataFrame:
     """Links from every set with a key to the first one with it, a row at a time."""
 
@@ -222,38 +263,42 @@ def grouped(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, doc_i
         raise ValueError(f"similarity must lie between 0 and 1, not {similarity}")
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     sets = staged(_sets(docs, shingle, least), "sets")
-    own = [F.max(name).alias(name) for name in ("size", "low", "high")]
+    own = [F.max(name).alias(name) for name in ("size", "low", "needs")]
     nodes = staged(sets.groupBy("node").agg(F.min("source").alias("source"), *own), "nodes")
-    joined = staged(components(_near(docs, nodes, shingle, least)), "near")
+    near = _fingerprinted(docs, nodes)
     free_shuffles(docs.sparkSession)
-    # sets that share keys of one class, directly or by others, are candidates there; as no group spans
-    # several classes, sets of very different sizes never meet
-    groups = staged(components(staged(_stars(_keyed(docs, shingle, least)), "stars")), "candidates")
+    shared = staged(_shared(_keyed(docs, shingle, least)), "shared")
     free_shuffles(docs.sparkSession)
-    met = nodes.withColumn("number", F.explode(F.sequence("low", "high")))
-    placed = groups.join(met.withColumnRenamed("node", "own"), F.col("node") == F.col("own").bitwiseXOR(F.col("number")))
-    placed = placed.select("root", F.col("own").alias("node"), "source", "size")
-    # what is one component already has nothing left to compare
-    known = joined.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    placed = placed.join(known, F.col("node") == F.col("_node"), "left").withColumn("_root", F.coalesce("_root", "node"))
-    placed = staged(placed.drop("_node"), "placed")
-    torn = placed.groupBy("root").agg(F.min("_root").alias("least"), F.max("_root").alias("most")).where("least <> most")
-    links = _links_of(docs, placed.drop("_root").join(torn.select("root"), "root", "left_semi"), shingle, least)
-    known = joined.select(F.col("node").alias("u"), F.col("root").alias("v"))
-    found = components(links.unionByName(known)).withColumnRenamed("node", "_node")
+    placed = near.unionByName(_candidates(nodes, shared))
+    # both kinds of groups in one go, as every set's text moves once to be met with its places
+    found = components(_links_of(docs, placed, shingle, least)).withColumnRenamed("node", "_node")
     free_shuffles(docs.sparkSession)
     roots = nodes.join(found, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("root", "node").alias("root"))
     return sets.select("doc_id", "source", "node").join(roots, "node").drop("node")
 
 
-def _near(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
-    """Links within the components of SimHash fingerprints, confirmed like others. Most copies with few
-    changes are found here, so their texts need not move once more for the keys they share."""
+def _fingerprinted(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The components of SimHash fingerprints as groups ``root, node, source, size``."""
     near = simhash.near_duplicates(_texts(docs).select("source", "text"), doc_id="source")
     near = near.select(F.col("doc_id").alias("source"), F.col("component_id").alias("root")).distinct()
     placed = staged(nodes.where("size > 0").select("node", "source", "size").join(near, "source"), "fingerprinted")
     several = placed.groupBy("root").count().where("count > 1").select("root")
-    return _links_of(docs, placed.join(several, "root", "left_semi"), shingle, similarity)
+    return placed.join(several, "root", "left_semi").select("root", "node", "source", "size")
+
+
+def _candidates(nodes: DataFrame, shared: DataFrame) -> DataFrame:
+    """Groups ``root, node, source, size`` of sets that share keys of one class, directly or by others; as no
+    group spans several classes, sets of very different sizes never meet. Passages that many texts have
+    give a set fewer keys than it must share with a similar one; such a set joins no group."""
+    met = nodes.select("node", "source", "size", "low", F.posexplode("needs").alias("at", "need"))
+    met = met.select(
+        F.col("node").bitwiseXOR(F.col("low") + F.col("at")).alias("place"), F.col("node").alias("own"), "source", "size", "need"
+    )
+    keys = F.count("*").over(Window.partitionBy("node"))
+    left = shared.withColumn("keys", keys).join(met.select("place", "need"), F.col("node") == F.col("place"))
+    left = left.where("keys >= need").select("key", "node")
+    groups = staged(components(staged(_stars(left), "stars")), "candidates")
+    return groups.join(met, F.col("node") == F.col("place")).select("root", F.col("own").alias("node"), "source", "size")
 
 
 def _links_of(docs: DataFrame, placed: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
