@@ -14,7 +14,7 @@ from queuelog.llm.common import free_shuffles, staged, table
 
 #: Rows of a block, blocks of a shard, and queries that go through a shard together.
 BLOCK, SHARD, QUERIES = 256, 32, 1024
-#: Bytes of shards and of query packs that a task gets, and tasks that share few shards at most.
+#: Bytes of shards and of query packs that a task gets; lanes that few shards are dealt to, for more tasks.
 HELD, ASKED, LANES = 16 << 20, 4 << 20, 16
 #: One shard in so many is searched first.
 FIRST = 16
